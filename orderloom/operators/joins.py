@@ -63,11 +63,12 @@ def spread_join(
     """``left.join(right, on, how)`` for ``inner`` and ``left``, where ``left`` is
     the large side.
 
-    A right side within the broadcast limit needs no shuffle, so the plain join is
-    returned and Spark broadcasts it. Otherwise both sides are shuffled: the rows
-    of a hot left key are dealt over ``buckets`` and the few matching right rows
-    are copied to each, while all other keys take one bucket and no copy. Left
-    rows with a NULL key match nothing and are dealt out too.
+    A side within the broadcast limit (the left one only for an inner join) needs
+    no shuffle of the other, so the plain join is returned and Spark broadcasts
+    that side. Otherwise both sides are shuffled: the rows of a hot left key are
+    dealt over ``buckets`` and the few matching right rows are copied to each,
+    while all other keys take one bucket and no copy. Left rows with a NULL key
+    match nothing and are dealt out too.
 
     ``key_source`` is a cheaper frame with about the same keys as ``left``, for
     when ``left`` is itself the result of a join.
@@ -75,7 +76,8 @@ def spread_join(
     if how not in ("inner", "left"):
         raise ValueError(f"spread_join does inner and left joins, not {how!r}")
     spark = left.sparkSession
-    if small_enough_to_broadcast(spark, right):
+    broadcastable = (right, left) if how == "inner" else (right,)
+    if any(small_enough_to_broadcast(spark, side) for side in broadcastable):
         return left.join(right, on, how)
 
     if how == "inner":

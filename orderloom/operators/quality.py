@@ -1,7 +1,7 @@
 """Column rules as Spark aggregates.
 
 All rules of a suite are conditional counts in one pass over the table. A
-membership rule adds one anti-join on keys that were grouped first.
+membership rule joins the distinct keys of both sides, never the rows.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from orderloom.operators.joins import spread_join
 
 References = Mapping[str, DataFrame]
 
+_KNOWN = "_known"
+
 
 @dataclass(frozen=True)
 class NotNull:
@@ -92,41 +94,73 @@ def rule_label(rule: Rule) -> str:
     return f"{rule.kind}:{rule.column}"
 
 
-def unknown_keys(df: DataFrame, rule: InReference, references: References) -> DataFrame:
-    """Keys of ``df`` that the reference lacks, each with its number of rows."""
-    known = (
+def _known_keys(rule: InReference, references: References) -> DataFrame:
+    """The reference's keys, each once, with a mark that tells a match from none."""
+    return (
         references[rule.reference]
         .select(F.col(rule.reference_column).alias(rule.column))
         .where(F.col(rule.column).isNotNull())
         .distinct()
-    )
-    return (
-        df.where(F.col(rule.column).isNotNull())
-        .groupBy(rule.column)
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .join(known, rule.column, "left_anti")
+        .withColumn(_KNOWN, F.lit(True))
     )
 
 
-def _unexpected(df: DataFrame, rule: Rule, position: int, references: References) -> Column:
-    if isinstance(rule, InReference):
-        missing = unknown_keys(df, rule, references)
-        return missing.agg(F.coalesce(F.sum("row_count"), F.lit(0)).cast("long").alias("n")).scalar()
-    return F.col(f"broken_{position}")
+def _is_unknown(rule: InReference) -> Column:
+    return F.col(rule.column).isNotNull() & F.col(_KNOWN).isNull()
+
+
+def _per_key(df: DataFrame, rule: InReference, counters: list[Column], references: References) -> DataFrame:
+    """Counters per key, with the known keys marked. Rows collapse to one per key
+    and task before they are shuffled, so a hot key costs no more than another."""
+    grouped = df.groupBy(rule.column).agg(*counters)
+    return grouped.join(_known_keys(rule, references), rule.column, "left")
+
+
+def unknown_keys(df: DataFrame, rule: InReference, references: References) -> DataFrame:
+    """Keys of ``df`` that the reference lacks, each with its number of rows."""
+    counter = F.count(F.lit(1)).alias("row_count")
+    present = df.where(F.col(rule.column).isNotNull())
+    return (
+        present.groupBy(rule.column)
+        .agg(counter)
+        .join(_known_keys(rule, references).drop(_KNOWN), rule.column, "left_anti")
+    )
 
 
 def evaluate(df: DataFrame, suite: Suite, asset: str, references: References | None = None) -> DataFrame:
     """One row per rule: how many rows were checked, how many broke it, and the
-    verdict. The result has as many rows as the suite has rules."""
+    verdict. The result has as many rows as the suite has rules.
+
+    The counters of all column rules ride on the grouping of the first membership
+    rule, so the table is read once; each further membership rule reads its one
+    column again.
+    """
     references = references or {}
-    counts = df.agg(
-        F.count(F.lit(1)).alias("checked"),
-        *(
-            F.count_if(rule.broken()).alias(f"broken_{i}")
-            for i, rule in enumerate(suite.rules)
-            if not isinstance(rule, InReference)
-        ),
-    )
+    counters = {"checked": F.count(F.lit(1))}
+    membership: list[tuple[str, InReference]] = []
+    for i, rule in enumerate(suite.rules):
+        if isinstance(rule, InReference):
+            membership.append((f"broken_{i}", rule))
+        else:
+            counters[f"broken_{i}"] = F.count_if(rule.broken())
+    columns = [counter.alias(name) for name, counter in counters.items()]
+
+    def unknown_rows(name: str, rule: InReference) -> Column:
+        return F.coalesce(F.sum(F.when(_is_unknown(rule), F.col("checked"))), F.lit(0)).alias(name)
+
+    if membership:
+        lead_name, lead = membership[0]
+        counts = _per_key(df, lead, columns, references).agg(
+            *(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counters),
+            unknown_rows(lead_name, lead),
+        )
+    else:
+        counts = df.agg(*columns)
+    unexpected = {name: F.col(name) for name in counts.columns}
+    for name, rule in membership[1:]:
+        keyed = _per_key(df, rule, [F.count(F.lit(1)).alias("checked")], references)
+        unexpected[name] = keyed.agg(unknown_rows(name, rule)).scalar()
+
     rows = [
         F.struct(
             F.lit(i + 1).alias("rule_no"),
@@ -134,7 +168,7 @@ def evaluate(df: DataFrame, suite: Suite, asset: str, references: References | N
             F.lit(rule.column).alias("column"),
             F.lit(rule.detail).alias("detail"),
             F.col("checked").alias("element_count"),
-            _unexpected(df, rule, i, references).alias("unexpected_count"),
+            unexpected[f"broken_{i}"].alias("unexpected_count"),
         )
         for i, rule in enumerate(suite.rules)
     ]
@@ -163,19 +197,18 @@ def overall(results: DataFrame) -> DataFrame:
 def failing_rows(df: DataFrame, suite: Suite, references: References | None = None) -> DataFrame:
     """The rows that break at least one rule, with the labels of those rules."""
     references = references or {}
-    labels, flags = [], []
+    columns, labels = df.columns, []
     for i, rule in enumerate(suite.rules):
         label = F.lit(rule_label(rule))
         if isinstance(rule, InReference):
             flag = f"_unknown_{i}"
-            missing = unknown_keys(df, rule, references).select(rule.column, F.lit(True).alias(flag))
-            df = spread_join(df, missing, rule.column, "left")
-            flags.append(flag)
+            joined = spread_join(df, _known_keys(rule, references), rule.column, "left")
+            df = joined.withColumn(flag, _is_unknown(rule)).drop(_KNOWN)
             labels.append(F.when(F.col(flag), label))
         else:
             labels.append(F.when(rule.broken(), label))
     return (
         df.withColumn("broken_rules", F.array_compact(F.array(*labels)))
         .where(F.size("broken_rules") > 0)
-        .drop(*flags)
+        .select(*columns, "broken_rules")
     )

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.config import Layers, RawDataset
 from orderloom.sinks.tables import create_database, refresh_table
 from orderloom.sources.files import read_raw_csv, with_audit_columns
 
+CONCURRENT_LOADS = 4
+
 
 def ingest(
     spark: SparkSession,
@@ -28,9 +32,12 @@ def ingest_all(
     layers: Layers,
     table_format: str = "parquet",
 ) -> dict[str, int]:
-    """Load every dataset; one job each, and the row count of each table."""
+    """Load every dataset and return the row count of each table. Some are
+    submitted at a time, so that small ones do not leave executors idle."""
     create_database(spark, layers.bronze, layers.database_path(layers.bronze))
-    return {d.table: ingest(spark, raw_root, d, layers, table_format) for d in datasets}
+    with ThreadPoolExecutor(CONCURRENT_LOADS) as pool:
+        counts = pool.map(lambda d: ingest(spark, raw_root, d, layers, table_format), datasets)
+        return dict(zip((d.table for d in datasets), counts))
 
 
 def counts_frame(spark: SparkSession, counts: dict[str, int]) -> DataFrame:

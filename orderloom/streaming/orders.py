@@ -12,7 +12,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -41,12 +41,6 @@ def route_events(values: DataFrame, threshold: float = HIGH_VALUE_THRESHOLD) ->
             "route",
             F.when(F.col("reason").isNotNull(), DEAD_LETTER).when(F.col("amount") > threshold, HIGH_VALUE),
         )
-        .observe(
-            _COUNTS,
-            F.count(F.lit(1)).alias("seen"),
-            F.count_if(F.col("route") == HIGH_VALUE).alias("matched"),
-            F.count_if(F.col("route") == DEAD_LETTER).alias("rejected"),
-        )
         .where(F.col("route").isNotNull())
         .select("value", "route", "reason")
     )
@@ -66,8 +60,13 @@ def land_orders(
     continuous: bool = False,
 ) -> StreamingQuery:
     """Land both routes as JSON Lines, one folder per route. A dead letter is
-    wrapped with its reason."""
-    lines = route_events(values, threshold).select(
+    wrapped with its reason. ``drain`` reports how many took either route."""
+    counted = route_events(values, threshold).observe(
+        _COUNTS,
+        F.count_if(F.col("route") == HIGH_VALUE).alias("matched"),
+        F.count_if(F.col("route") == DEAD_LETTER).alias("rejected"),
+    )
+    lines = counted.select(
         F.when(F.col("route") == HIGH_VALUE, one_line(F.col("value")))
         .otherwise(F.to_json(F.struct("value", "reason")))
         .alias("value"),
@@ -83,12 +82,19 @@ def land_orders(
     return _start(writer, continuous)
 
 
+@dataclass
+class StreamCounts:
+    matched: int = 0
+    rejected: int = 0
+
+
 def land_and_print(
     values: DataFrame,
     path: str,
     checkpoint: str,
     threshold: float = HIGH_VALUE_THRESHOLD,
     *,
+    counts: StreamCounts | None = None,
     show: Callable[[str], None] = print,
     show_rows: int = 20,
     continuous: bool = False,
@@ -96,21 +102,29 @@ def land_and_print(
     """Land both routes per batch and show the first matches of each batch.
 
     The batch is kept while its outputs are written, so the source is read once.
-    ``show_rows`` bounds what a batch brings to the driver.
+    ``show_rows`` bounds what a batch brings to the driver. ``counts`` grows by
+    what each batch has written.
     """
+    counts = counts or StreamCounts()
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        matched, rejected = Observation(), Observation()
         batch = batch.persist()
         try:
             matches = batch.where(F.col("route") == HIGH_VALUE).select(one_line(F.col("value")).alias("value"))
-            matches.write.mode("overwrite").text(f"{path}/{HIGH_VALUE}/batch={batch_id}")
-            batch.where(F.col("route") == DEAD_LETTER).select("value", "reason").write.mode("overwrite").json(
+            matches.observe(matched, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").text(
+                f"{path}/{HIGH_VALUE}/batch={batch_id}"
+            )
+            dead = batch.where(F.col("route") == DEAD_LETTER).select("value", "reason")
+            dead.observe(rejected, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").json(
                 f"{path}/{DEAD_LETTER}/batch={batch_id}"
             )
             for row in matches.take(show_rows):
                 show(f"High-value order: {row['value']}")
         finally:
             batch.unpersist()
+        counts.matched += matched.get["rows"]
+        counts.rejected += rejected.get["rows"]
 
     writer = (
         route_events(values, threshold)
@@ -127,15 +141,8 @@ def read_batches(spark: SparkSession, path: str, route: str = HIGH_VALUE) -> Dat
     return spark.read.schema(f"{schema}, batch long").json(f"{path}/{route}").drop("batch")
 
 
-@dataclass
-class StreamCounts:
-    seen: int = 0
-    matched: int = 0
-    rejected: int = 0
-
-
 def drain(query: StreamingQuery, idle_seconds: float | None = None, poll_seconds: float = 1.0) -> StreamCounts:
-    """Follow a query to its end and add up what it counted.
+    """Follow a query to its end and add up the counts it observed.
 
     A query over what is available ends by itself. For a continuous one give
     ``idle_seconds``: it is stopped once that long has passed without a new record.
@@ -145,13 +152,11 @@ def drain(query: StreamingQuery, idle_seconds: float | None = None, poll_seconds
     def collect() -> None:
         nonlocal next_batch, last_input
         for progress in query.recentProgress:
-            observed = progress.observedMetrics.get(_COUNTS)
-            if progress.batchId < next_batch or observed is None:
+            if progress.batchId < next_batch or progress.numInputRows == 0:
                 continue
-            if progress.numInputRows > 0:
-                next_batch = progress.batchId + 1
-                last_input = time.monotonic()
-                counts.seen += observed["seen"]
+            next_batch, last_input = progress.batchId + 1, time.monotonic()
+            observed = progress.observedMetrics.get(_COUNTS)
+            if observed is not None:
                 counts.matched += observed["matched"]
                 counts.rejected += observed["rejected"]
 

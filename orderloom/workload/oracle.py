@@ -245,8 +245,8 @@ _BODIES = {
         " FROM src_events WHERE order_amount > 50 GROUP BY customer_id"
     ),
     "stream_two_sinks": (
-        "SELECT count(*) FILTER (WHERE order_amount > 50) AS landed,"
-        " count(*) FILTER (WHERE order_amount > 50) AS matched, count(*) AS seen FROM src_events"
+        "SELECT count(*) AS landed, CAST(sum(CAST(order_amount AS DECIMAL(18,2))) AS DOUBLE) AS landed_amount,"
+        " count(*) AS matched, CAST(0 AS BIGINT) AS rejected FROM src_events WHERE order_amount > 50"
     ),
     "stream_restart": _LANDED,
     "stream_bad_records": (

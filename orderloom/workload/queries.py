@@ -6,6 +6,7 @@ Each one reads whole tables. Money leaves as double, after the exact decimal sum
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable
 from datetime import date
 from functools import wraps
@@ -37,7 +38,7 @@ from orderloom.sources import (
     read_table,
     stream_topic,
 )
-from orderloom.streaming import drain, land_and_print, land_orders, read_batches
+from orderloom.streaming import StreamCounts, drain, land_and_print, land_orders, read_batches
 from orderloom.workload import mapping as src
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,8 +83,7 @@ def write_raw(spark: SparkSession, sf_dir: str, *tables: str) -> str:
 
 
 def fresh_layers(spark: SparkSession) -> Layers:
-    location = scratch_path(spark, "layers")
-    return Layers.with_suffix(location.split("orderloom-")[1].split("/")[0], location)
+    return Layers.with_suffix(uuid.uuid4().hex, scratch_path(spark, "layers"))
 
 
 @query
@@ -332,13 +332,17 @@ def stream_landing_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed rows beside what the stream itself counted."""
     topic = published(spark, event_text(spark, sf_dir))
-    out = scratch_path(spark, "landing")
-    counts = drain(
-        land_and_print(stream_topic(spark, topic), out, f"{out}-checkpoint", show=log.info, show_rows=5)
+    out, counts = scratch_path(spark, "landing"), StreamCounts()
+    drain(
+        land_and_print(
+            stream_topic(spark, topic), out, f"{out}-checkpoint", counts=counts, show=log.info, show_rows=5
+        )
     )
-    landed = read_batches(spark, out)
-    return landed.agg(F.count(F.lit(1)).alias("landed")).select(
-        "landed", F.lit(counts.matched).cast("long").alias("matched"), F.lit(counts.seen).cast("long").alias("seen")
+    return read_batches(spark, out).agg(
+        F.count(F.lit(1)).alias("landed"),
+        F.sum(F.col("order_amount").cast("decimal(18,2)")).cast("double").alias("landed_amount"),
+        F.lit(counts.matched).cast("long").alias("matched"),
+        F.lit(counts.rejected).cast("long").alias("rejected"),
     )
 
 
