@@ -1,0 +1,121 @@
+from datetime import date
+
+import pytest
+
+from orderloom.config import Layers
+from orderloom.operators.quality import (
+    Between,
+    InReference,
+    NotNull,
+    Suite,
+    evaluate,
+    failing_rows,
+    overall,
+    unknown_keys,
+)
+from orderloom.plans.quality_gate import order_line_suite, record_run, run_suite
+from orderloom.session import scratch_path
+from orderloom.sources.tables import read_table
+
+SCHEMA = "order_id string, customer_id string, order_amount double, order_date date"
+GOOD = ("o1", "c1", 1.0, date(2017, 1, 1))
+
+
+def orders(spark, *rows):
+    return spark.createDataFrame(list(rows), SCHEMA)
+
+
+def customers(spark, *ids):
+    return {"customers": spark.createDataFrame([(i,) for i in ids], "customer_id string")}
+
+
+def broken(spark, df, suite, references=None):
+    return [r.unexpected_count for r in evaluate(df, suite, "a", references).orderBy("rule_no").collect()]
+
+
+def test_default_suite_on_good_rows(spark):
+    results = evaluate(orders(spark, GOOD), order_line_suite(), "silver_orders", customers(spark, "c1"))
+    assert [r.rule for r in results.collect()] == ["not_null", "not_null", "between", "between", "in_reference"]
+    assert overall(results).collect()[0].success is True
+
+
+@pytest.mark.parametrize(
+    "row,counts",
+    [
+        ((None, "c1", 1.0, date(2017, 1, 1)), [1, 0, 0, 0, 0]),
+        (("o", None, 1.0, date(2017, 1, 1)), [0, 1, 0, 0, 0]),
+        (("o", "c1", 0.0, date(2017, 1, 1)), [0, 0, 1, 0, 0]),
+        (("o", "c1", -3.0, date(2017, 1, 1)), [0, 0, 1, 0, 0]),
+        (("o", "c1", 0.01, date(2016, 1, 1)), [0, 0, 0, 0, 0]),
+        (("o", "c1", 1.0, date(2018, 12, 31)), [0, 0, 0, 0, 0]),
+        (("o", "c1", 1.0, date(2015, 12, 31)), [0, 0, 0, 1, 0]),
+        (("o", "c1", 1.0, date(2019, 1, 1)), [0, 0, 0, 1, 0]),
+        (("o", "c2", 1.0, date(2017, 1, 1)), [0, 0, 0, 0, 1]),
+        (("o", "c1", None, None), [0, 0, 0, 0, 0]),
+    ],
+)
+def test_each_rule_at_its_edge(spark, row, counts):
+    assert broken(spark, orders(spark, GOOD, row), order_line_suite(), customers(spark, "c1", None)) == counts
+
+
+def test_strict_and_open_bounds(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,), (None,)], "n int")
+    suite = Suite(
+        "s",
+        (
+            Between("n", low=1, high=3),
+            Between("n", low=1, high=3, strict_low=True, strict_high=True),
+            Between("n", high=2),
+            Between("n"),
+        ),
+    )
+    assert broken(spark, df, suite) == [0, 2, 1, 0]
+
+
+def test_several_membership_rules(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", "x"), ("b", "y"), (None, "z")], "k string, m string")
+    references = {
+        "ks": spark.createDataFrame([("a",), ("a",)], "k string"),
+        "ms": spark.createDataFrame([("x",), ("z",)], "id string"),
+    }
+    suite = Suite("s", (InReference("k", "ks", "k"), NotNull("k"), InReference("m", "ms", "id")))
+    results = evaluate(df, suite, "a", references).orderBy("rule_no").collect()
+    assert [r.unexpected_count for r in results] == [2, 1, 1]
+    assert {r.element_count for r in results} == {4}
+
+
+def test_unknown_keys_leaves_null_out(spark):
+    df = orders(spark, GOOD, ("o2", None, 1.0, None), ("o3", "c9", 1.0, None), ("o4", "c9", 1.0, None))
+    rule = InReference("customer_id", "customers", "customer_id")
+    assert [tuple(r) for r in unknown_keys(df, rule, customers(spark, "c1")).collect()] == [("c9", 2)]
+
+
+def test_empty_table_passes_and_no_rules_fail(spark):
+    empty = orders(spark, GOOD).where("false")
+    results = evaluate(empty, order_line_suite(), "a", customers(spark, "c1"))
+    assert {(r.element_count, r.unexpected_count, r.success) for r in results.collect()} == {(0, 0, True)}
+    assert overall(results.where("false")).collect()[0].success is False
+
+
+@pytest.mark.parametrize("joins", ["spark", "shuffled_joins"])
+def test_failing_rows_name_their_rules(request, joins):
+    spark = request.getfixturevalue(joins)
+    df = orders(spark, GOOD, (None, "c9", -1.0, date(2017, 1, 1)), ("o2", None, 5.0, date(2020, 1, 1)))
+    rows = failing_rows(df, order_line_suite(), customers(spark, "c1", "c1")).collect()
+    assert sorted(r.broken_rules for r in rows) == [
+        ["not_null:customer_id", "between:order_date"],
+        ["not_null:order_id", "between:order_amount", "in_reference:customer_id"],
+    ]
+    assert rows[0].__fields__ == ["order_id", "customer_id", "order_amount", "order_date", "broken_rules"]
+
+
+def test_runs_are_appended(spark):
+    layers = Layers.with_suffix("runs_test", scratch_path(spark, "layers"))
+    for rows in ([GOOD], [GOOD, (None, "c1", 1.0, None)]):
+        verdict = run_suite(orders(spark, *rows), order_line_suite(), "orders", customers(spark, "c1"), "nightly")
+        record_run(spark, verdict, layers)
+    runs = read_table(spark, layers.quality, "runs").orderBy("run_time").collect()
+    assert [r.success for r in runs] == [True, False]
+    assert runs[0].batch_id != runs[1].batch_id and runs[0].run_name == "nightly"
+    assert read_table(spark, layers.quality, "results").count() == 10
+    assert verdict.to_json() == '{"success": false}'

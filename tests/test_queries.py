@@ -1,0 +1,42 @@
+"""Every registered query against its SQL counterpart, on whole tables."""
+
+import pytest
+
+import __spark_entry__ as contract
+from compare import connect, duck_table, spark_table
+
+
+@pytest.fixture(scope="module")
+def duck(sf_dir):
+    return connect(sf_dir)
+
+
+def test_each_query_has_sql():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_query_matches_sql(spark, duck, sf_dir, name):
+    assert spark_table(contract.queries()[name](spark, sf_dir)) == duck_table(duck, contract.oracle_sql()[name])
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "silver_orders",
+        "products_translated",
+        "daily_revenue_by_category",
+        "top10_customers_ltv",
+        "dq_results",
+        "dq_orphan_customers",
+        "quarantine_rows",
+    ],
+)
+def test_query_matches_sql_without_broadcast(shuffled_joins, duck, sf_dir, name):
+    result = contract.queries()[name](shuffled_joins, sf_dir)
+    assert spark_table(result) == duck_table(duck, contract.oracle_sql()[name])
+
+
+def test_entry_returns_rows(spark):
+    assert contract.entry(spark).columns == ["order_date", "product_category_name_english", "revenue"]
+    assert contract.entry(spark).count() > 0
