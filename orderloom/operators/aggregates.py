@@ -13,8 +13,8 @@ def key_total(df: DataFrame, key: str, amount: Column, name: str) -> DataFrame:
 
 
 def revenue_by(df: DataFrame, keys: list[str], revenue: Column, name: str = "revenue") -> DataFrame:
-    """Sum per combination of keys, in key order; a NULL key is a group of its own."""
-    return df.groupBy(*keys).agg(F.sum(revenue).alias(name)).orderBy(*keys)
+    """Sum per combination of keys; a NULL key is a group of its own."""
+    return df.groupBy(*keys).agg(F.sum(revenue).alias(name))
 
 
 def customer_value(order_grain: DataFrame, customer: str, amount: str) -> DataFrame:

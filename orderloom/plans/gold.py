@@ -16,9 +16,12 @@ from orderloom.operators.aggregates import (
 from orderloom.operators.dedupe import keep_one
 
 
-def daily_revenue_by_category(lines: DataFrame) -> DataFrame:
-    """Revenue per day and category, from the lines. Orders of any status count."""
-    return revenue_by(lines, ["order_date", "product_category_name_english"], line_revenue())
+def daily_revenue_by_category(lines: DataFrame, *, ordered: bool = True) -> DataFrame:
+    """Revenue per day and category, from the lines. Orders of any status count. A
+    clustered write orders the rows itself and can do without ``ordered``."""
+    keys = ["order_date", "product_category_name_english"]
+    revenue = revenue_by(lines, keys, line_revenue())
+    return revenue.orderBy(*keys) if ordered else revenue
 
 
 def order_grain(lines: DataFrame) -> DataFrame:
