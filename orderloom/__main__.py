@@ -82,7 +82,7 @@ def run_stream(spark, args: argparse.Namespace) -> StreamCounts:
         drain(land_and_print(*target, counts=counts, **shared), args.idle_seconds)
     else:
         counts = drain(land_orders(*target, **shared), args.idle_seconds)
-    print(f"{counts.matched} high-value orders written to {args.landing}, {counts.rejected} rejected")
+    print(f"landed {counts.matched}, rejected {counts.rejected}: {args.landing}")
     return counts
 
 

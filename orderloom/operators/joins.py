@@ -13,7 +13,13 @@ from pyspark.sql import functions as F
 HOT_SHARE = 64
 SKETCH_ITEMS = 10_000
 
-_SALT = "_salt"
+# A hot key must also fill its buckets. The partners of n rows are copied once per
+# bucket and meet each of the n rows, so the copies are at most 1/ROWS_PER_BUCKET
+# of what the join gives for that key.
+ROWS_PER_BUCKET = 8
+
+_LEFT_BUCKET, _RIGHT_BUCKET = "_left_bucket", "_right_bucket"
+_COPIED, _MATCHED = "_copied", "_matched"
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
@@ -33,21 +39,39 @@ def small_enough_to_broadcast(spark: SparkSession, df: DataFrame) -> bool:
     return 0 <= estimate <= limit
 
 
-def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """One row with one array: the keys that hold more than 1/HOT_SHARE of the rows.
+def hot_keys(df: DataFrame, key: str, min_rows: int = 0) -> DataFrame:
+    """One row with one array: the keys that hold more than 1/HOT_SHARE of the rows,
+    and more than ``min_rows``.
 
     A mergeable frequent-items sketch reads the key column once; only sketches
     are exchanged. The array picks the physical route of a row and never its
-    presence in a result, so an approximate answer is enough.
+    presence in a result, so an approximate count is enough.
     """
-    return df.agg(
-        F.expr(f"approx_top_k(`{key}`, {HOT_SHARE}, {SKETCH_ITEMS})").alias("top"),
-        F.count(F.lit(1)).alias("total"),
-    ).select(
-        F.transform(
-            F.filter("top", lambda t: t["item"].isNotNull() & (t["count"] * HOT_SHARE > F.col("total"))),
-            lambda t: t["item"],
-        ).alias("hot")
+
+    def is_hot(entry: Column) -> Column:
+        large = (entry["count"] * HOT_SHARE > F.col("total")) & (entry["count"] > min_rows)
+        return entry["item"].isNotNull() & large
+
+    top = F.expr(f"approx_top_k(`{key}`, {HOT_SHARE}, {SKETCH_ITEMS})")
+    return df.agg(top.alias("top"), F.count(F.lit(1)).alias("total")).select(
+        F.transform(F.filter("top", is_hot), lambda entry: entry["item"]).alias("hot")
+    )
+
+
+def _is_in(hot: DataFrame, key: str) -> Column:
+    return F.coalesce(F.array_contains(hot.scalar(), F.col(key)), F.lit(False))
+
+
+def _dealt(df: DataFrame, buckets: int) -> Column:
+    """A bucket made of the row and its partition only: a task that runs again
+    after an executor loss sends each row to the same bucket as before."""
+    row = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in df.columns])
+    return F.pmod(row, F.lit(buckets)).cast("int")
+
+
+def _one_or_every(every: Column, buckets: int) -> Column:
+    return F.explode(
+        F.when(every, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
     )
 
 
@@ -57,7 +81,8 @@ def spread_join(
     on: str,
     how: str = "inner",
     *,
-    key_source: DataFrame | None = None,
+    left_keys: DataFrame | None = None,
+    right_keys: DataFrame | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
     """``left.join(right, on, how)`` for ``inner`` and ``left``, where ``left`` is
@@ -66,12 +91,13 @@ def spread_join(
     A side within the broadcast limit (the left one only for an inner join) needs
     no shuffle of the other, so the plain join is returned and Spark broadcasts
     that side. Otherwise both sides are shuffled: the rows of a hot left key are
-    dealt over ``buckets`` and the few matching right rows are copied to each,
-    while all other keys take one bucket and no copy. Left rows with a NULL key
-    match nothing and are dealt out too.
+    dealt over ``buckets`` and the matching right rows are copied to each, while
+    all other keys take one bucket and no copy. Left rows with a NULL key match
+    nothing and are dealt out too.
 
-    ``key_source`` is a cheaper frame with about the same keys as ``left``, for
-    when ``left`` is itself the result of a join.
+    ``left_keys`` is a cheaper frame with about the same keys as ``left``, for
+    when ``left`` is itself the result of a join. ``right_keys`` asks for the same
+    care of keys that repeat on the right; it must hold the keys of ``right``.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"spread_join does inner and left joins, not {how!r}")
@@ -84,21 +110,27 @@ def spread_join(
         left = left.where(F.col(on).isNotNull())
     right = right.where(F.col(on).isNotNull())
     buckets = buckets or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    hot = hot_keys(left if key_source is None else key_source, on)
-
-    def is_hot() -> Column:
-        return F.coalesce(F.array_contains(hot.scalar(), F.col(on)), F.lit(False))
-
-    # Made of the row and its partition only: a task that runs again after an
-    # executor loss sends each row to the same bucket as before.
-    dealt = F.pmod(
-        F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in left.columns]), F.lit(buckets)
-    ).cast("int")
-    salted_left = left.withColumn(_SALT, F.when(F.col(on).isNull() | is_hot(), dealt).otherwise(F.lit(0)))
-    salted_right = right.withColumn(
-        _SALT,
-        F.explode(
-            F.when(is_hot(), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
-        ),
+    min_rows = buckets * ROWS_PER_BUCKET
+
+    hot_left = hot_keys(left if left_keys is None else left_keys, on, min_rows)
+    deal_left = F.col(on).isNull() | _is_in(hot_left, on)
+    left = left.withColumn(_LEFT_BUCKET, F.when(deal_left, _dealt(left, buckets)).otherwise(F.lit(0)))
+    right = right.withColumn(_LEFT_BUCKET, _one_or_every(_is_in(hot_left, on), buckets))
+    if right_keys is None:
+        return left.join(right, [on, _LEFT_BUCKET], how).drop(_LEFT_BUCKET)
+
+    # A row of either side now has a place in a grid: dealt along one axis, copied
+    # along the other. Any two rows of a key still meet in exactly one cell.
+    hot_right = hot_keys(right_keys, on, min_rows)
+    right = right.withColumn(
+        _RIGHT_BUCKET, F.when(_is_in(hot_right, on), _dealt(right, buckets)).otherwise(F.lit(0))
+    ).withColumn(_MATCHED, F.lit(True))
+    left = left.withColumn(_COPIED, _is_in(hot_right, on)).withColumn(
+        _RIGHT_BUCKET, _one_or_every(F.col(_COPIED), buckets)
     )
-    return salted_left.join(salted_right, [on, _SALT], how).drop(_SALT)
+    joined = left.join(right, [on, _LEFT_BUCKET, _RIGHT_BUCKET], how)
+    if how == "left":
+        # The key of a copied row is on the right for certain, so a copy without a
+        # match only fell into a cell that got no right row.
+        joined = joined.where(~F.col(_COPIED) | F.col(_MATCHED).isNotNull())
+    return joined.drop(_LEFT_BUCKET, _RIGHT_BUCKET, _COPIED, _MATCHED)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from orderloom.functions.columns import day_of, money
 from orderloom.operators.aggregates import key_total
@@ -31,9 +30,8 @@ def clean_orders(orders: DataFrame) -> DataFrame:
     Rows without a key go first: a copy without a customer must not displace the
     complete one. Of differing copies the latest purchase is kept.
     """
-    complete = orders.where(F.col("order_id").isNotNull() & F.col("customer_id").isNotNull())
     unique = keep_one(
-        complete,
+        orders.where("order_id IS NOT NULL AND customer_id IS NOT NULL"),
         ["order_id"],
         ["customer_id", "order_status", "order_purchase_timestamp"],
         prefer=("order_purchase_timestamp",),
@@ -58,6 +56,7 @@ def translate_categories(products: DataFrame, translation: DataFrame) -> DataFra
         translation.select("product_category_name", "product_category_name_english"),
         "product_category_name",
         "left",
+        right_keys=translation,
     )
     return joined.select("product_id", "product_category_name", "product_category_name_english")
 
@@ -84,7 +83,8 @@ def order_lines(
         paid_orders,
         customers.select("customer_id", "customer_unique_id"),
         "customer_id",
-        key_source=orders,
+        left_keys=orders,
+        right_keys=customers,
     )
     lines = spread_join(
         order_items.select(
@@ -95,12 +95,14 @@ def order_lines(
         ),
         known_orders,
         "order_id",
+        left_keys=order_items,
     )
     described = spread_join(
         lines,
         translate_categories(products, translation),
         "product_id",
         "left",
-        key_source=order_items,
+        left_keys=order_items,
+        right_keys=products,
     )
     return described.select(*SILVER_COLUMNS)

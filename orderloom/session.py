@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -33,7 +34,9 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_local_roots: dict[str, str] = {}
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="orderloom-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -47,6 +50,5 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         master = spark.conf.get("spark.master", "")
         if not master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = _local_roots.setdefault(master, "") or tempfile.mkdtemp(prefix="orderloom-")
-        _local_roots[master] = root
+        root = _local_root()
     return f"{root.rstrip('/')}/orderloom-{uuid.uuid4().hex}/{label}"

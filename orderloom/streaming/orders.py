@@ -120,7 +120,7 @@ def land_and_print(
                 f"{path}/{DEAD_LETTER}/batch={batch_id}"
             )
             for row in matches.take(show_rows):
-                show(f"High-value order: {row['value']}")
+                show(f"above threshold: {row['value']}")
         finally:
             batch.unpersist()
         counts.matched += matched.get["rows"]

@@ -21,8 +21,6 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def plain(value):
     if isinstance(value, decimal.Decimal):
         value = float(value)
-    if isinstance(value, float):
-        return f"{value:.9g}"
     if isinstance(value, datetime.datetime):
         return value.replace(tzinfo=None).isoformat()
     return repr(value)

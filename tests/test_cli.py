@@ -39,7 +39,7 @@ def test_stream(spark, capsys, extra):
     publish(values(spark, event(1, 60), event(2, 20)), Topic(topic))
     run_stream(spark, parse(["stream", "--topic", topic, "--landing", landing, "--checkpoint", f"{landing}-c", *extra]))
     out = capsys.readouterr().out
-    assert f"1 high-value orders written to {landing}, 0 rejected" in out
-    assert ("High-value order: {" in out) == ("--print-matches" in extra)
+    assert f"landed 1, rejected 0: {landing}" in out
+    assert ("above threshold: {" in out) == ("--print-matches" in extra)
     landed = (read_batches if "--print-matches" in extra else read_landing)(spark, landing)
     assert spark_table(landed.select("customer_id"))[1] == [("'cust_1'",)]

@@ -37,6 +37,42 @@ def test_spread_join_equals_plain_join(shuffled_joins, how):
     assert spark_table(spread) == spark_table(plain)
 
 
+def copied_right_frame(spark, n=600):
+    """A third of the rows on one key that is cold on the left, a third on the key
+    that is hot there, the rest spread."""
+    rows = [(("k3", "k7", f"k{i % 400}")[i % 3], f"name {i}") for i in range(n)]
+    return spark.createDataFrame(rows, "key string, name string").repartition(3)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("buckets", [3, 20])
+def test_both_sides_may_repeat_a_key(shuffled_joins, how, buckets):
+    left, right = left_frame(shuffled_joins), copied_right_frame(shuffled_joins)
+    spread = spread_join(left, right, "key", how, right_keys=right, buckets=buckets)
+    plain = left.join(right, "key", how)
+    assert hot_keys(right, "key", 20 * 8).collect()[0]["hot"]
+    assert spread.columns == plain.columns
+    assert spark_table(spread) == spark_table(plain)
+
+
+def test_copies_of_a_right_key_reach_several_partitions(shuffled_joins):
+    spark = shuffled_joins
+    left = spark.createDataFrame([(f"k{i}",) for i in range(50)], "key string")
+    right = copied_right_frame(spark)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = spread_join(left, right, "key", "left", right_keys=right, buckets=8)
+        parts = joined.where("key = 'k3'").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(parts) > 1 and sum(p["count"] for p in parts) == right.where("key = 'k3'").count()
+
+
+def test_few_keys_on_a_small_side_cause_no_copies(spark):
+    few = spark.createDataFrame([(f"k{i}",) for i in range(5)], "key string")
+    assert hot_keys(few, "key", 100).collect()[0]["hot"] == []
+
+
 def test_hot_rows_reach_several_partitions(shuffled_joins):
     spark = shuffled_joins
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
@@ -62,10 +98,10 @@ def test_hot_keys_finds_the_large_keys_only(spark):
     assert hot_keys(left_frame(spark).where("false"), "key").collect()[0]["hot"] == []
 
 
-def test_key_source_only_routes(shuffled_joins):
+def test_left_keys_only_routes(shuffled_joins):
     left, right = left_frame(shuffled_joins), right_frame(shuffled_joins)
     other = shuffled_joins.createDataFrame([("k1",)] * 50, "key string")
-    assert spark_table(spread_join(left, right, "key", "left", key_source=other)) == spark_table(
+    assert spark_table(spread_join(left, right, "key", "left", left_keys=other)) == spark_table(
         left.join(right, "key", "left")
     )
 
@@ -75,8 +111,8 @@ def test_small_side_is_joined_without_salt(spark):
     small = spark.range(100).selectExpr("id AS key", "id * 2 AS name")
     for joined in (spread_join(large, small, "key", "left"), spread_join(small, large, "key")):
         plan = plan_of(joined)
-        assert "_salt" not in plan and "approx_top_k" not in plan and "BroadcastHashJoin" in plan
-    assert "_salt" in plan_of(spread_join(small, large, "key", "left"))
+        assert "_left_bucket" not in plan and "approx_top_k" not in plan and "BroadcastHashJoin" in plan
+    assert "_left_bucket" in plan_of(spread_join(small, large, "key", "left"))
 
 
 def test_size_check(spark):
