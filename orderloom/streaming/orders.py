@@ -141,6 +141,12 @@ def read_batches(spark: SparkSession, path: str, route: str = HIGH_VALUE) -> Dat
     return spark.read.schema(f"{schema}, batch long").json(f"{path}/{route}").drop("batch")
 
 
+def _is_busy(query: StreamingQuery) -> bool:
+    """Starting up, or at work on a batch that has not reported yet."""
+    status = query.status
+    return status["isDataAvailable"] or status["message"].startswith("Initializing")
+
+
 def drain(query: StreamingQuery, idle_seconds: float | None = None, poll_seconds: float = 1.0) -> StreamCounts:
     """Follow a query to its end and add up the counts it observed.
 
@@ -162,7 +168,9 @@ def drain(query: StreamingQuery, idle_seconds: float | None = None, poll_seconds
 
     while not query.awaitTermination(poll_seconds):
         collect()
-        if idle_seconds is not None and time.monotonic() - last_input >= idle_seconds:
+        if _is_busy(query):
+            last_input = time.monotonic()
+        elif idle_seconds is not None and time.monotonic() - last_input >= idle_seconds:
             query.stop()
     collect()
     return counts

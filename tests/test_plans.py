@@ -50,8 +50,9 @@ def test_no_cross_join_and_no_python(shuffled_joins, sf_dir, name):
         assert node not in text
 
 
-def test_nothing_is_broadcast_beyond_the_limit(shuffled_joins, sf_dir):
-    assert "BroadcastHashJoin" not in plan(shuffled_joins, sf_dir, "quarantine_rows")
+@pytest.mark.parametrize("name", ["silver_orders", "dq_results", "quarantine_rows"])
+def test_nothing_is_broadcast_beyond_the_limit(shuffled_joins, sf_dir, name):
+    assert "BroadcastHashJoin" not in plan(shuffled_joins, sf_dir, name)
 
 
 def test_scans_read_only_what_is_used(shuffled_joins, full_text, sf_dir):

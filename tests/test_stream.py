@@ -125,6 +125,22 @@ def test_continuous_query_stops_when_idle(spark, topic, out):
     assert read_landing(spark, out).count() == 2
 
 
+def test_a_long_batch_is_not_idle(spark, topic, out):
+    publish(values(spark, event(1, 60), event(2, 70)), topic)
+    counts = StreamCounts()
+    query = land_and_print(
+        stream_topic(spark, topic),
+        out,
+        f"{out}-checkpoint",
+        counts=counts,
+        show=lambda _: time.sleep(3),
+        continuous=True,
+    )
+    drain(query, idle_seconds=2, poll_seconds=0.5)
+    assert counts.matched == 2 and read_batches(spark, out).count() == 2
+    assert land(spark, Topic(topic.name), f"{out}-again").matched == 2
+
+
 def test_published_text(spark, topic):
     source = spark.sql("SELECT 'cust_1' AS customer_id, 53.5D AS order_amount, TIMESTAMP '2026-07-12 22:49:00.692711' AS t")
     publish(source.select(event_json("customer_id", "order_amount", utc_text(F.col("t")).alias("timestamp")).alias("value")), topic)
