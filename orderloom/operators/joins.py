@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,10 +63,10 @@ def _is_in(hot: DataFrame, key: str) -> Column:
     return F.coalesce(F.array_contains(hot.scalar(), F.col(key)), F.lit(False))
 
 
-def _dealt(df: DataFrame, buckets: int) -> Column:
+def _dealt(columns: Iterable[str], buckets: int) -> Column:
     """A bucket made of the row and its partition only: a task that runs again
     after an executor loss sends each row to the same bucket as before."""
-    row = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in df.columns])
+    row = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in columns])
     return F.pmod(row, F.lit(buckets)).cast("int")
 
 
@@ -83,6 +84,7 @@ def spread_join(
     *,
     left_keys: DataFrame | None = None,
     right_keys: DataFrame | None = None,
+    deal_by: Iterable[str] | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
     """``left.join(right, on, how)`` for ``inner`` and ``left``, where ``left`` is
@@ -98,6 +100,8 @@ def spread_join(
     ``left_keys`` is a cheaper frame with about the same keys as ``left``, for
     when ``left`` is itself the result of a join. ``right_keys`` asks for the same
     care of keys that repeat on the right; it must hold the keys of ``right``.
+    ``deal_by`` names left columns that tell the rows of one key apart; without it
+    all columns do, and none of them can be pruned before the join.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"spread_join does inner and left joins, not {how!r}")
@@ -114,7 +118,7 @@ def spread_join(
 
     hot_left = hot_keys(left if left_keys is None else left_keys, on, min_rows)
     deal_left = F.col(on).isNull() | _is_in(hot_left, on)
-    left = left.withColumn(_LEFT_BUCKET, F.when(deal_left, _dealt(left, buckets)).otherwise(F.lit(0)))
+    left = left.withColumn(_LEFT_BUCKET, F.when(deal_left, _dealt(deal_by or left.columns, buckets)).otherwise(F.lit(0)))
     right = right.withColumn(_LEFT_BUCKET, _one_or_every(_is_in(hot_left, on), buckets))
     if right_keys is None:
         return left.join(right, [on, _LEFT_BUCKET], how).drop(_LEFT_BUCKET)
@@ -123,7 +127,7 @@ def spread_join(
     # along the other. Any two rows of a key still meet in exactly one cell.
     hot_right = hot_keys(right_keys, on, min_rows)
     right = right.withColumn(
-        _RIGHT_BUCKET, F.when(_is_in(hot_right, on), _dealt(right, buckets)).otherwise(F.lit(0))
+        _RIGHT_BUCKET, F.when(_is_in(hot_right, on), _dealt(right.columns, buckets)).otherwise(F.lit(0))
     ).withColumn(_MATCHED, F.lit(True))
     left = left.withColumn(_COPIED, _is_in(hot_right, on)).withColumn(
         _RIGHT_BUCKET, _one_or_every(F.col(_COPIED), buckets)

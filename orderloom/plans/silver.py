@@ -57,6 +57,7 @@ def translate_categories(products: DataFrame, translation: DataFrame) -> DataFra
         "product_category_name",
         "left",
         right_keys=translation,
+        deal_by=["product_id"],
     )
     return joined.select("product_id", "product_category_name", "product_category_name_english")
 
@@ -85,6 +86,7 @@ def order_lines(
         "customer_id",
         left_keys=orders,
         right_keys=customers,
+        deal_by=["order_id"],
     )
     lines = spread_join(
         order_items.select(
@@ -96,6 +98,7 @@ def order_lines(
         known_orders,
         "order_id",
         left_keys=order_items,
+        deal_by=["product_id"],
     )
     described = spread_join(
         lines,
@@ -104,5 +107,6 @@ def order_lines(
         "left",
         left_keys=order_items,
         right_keys=products,
+        deal_by=["order_id"],
     )
     return described.select(*SILVER_COLUMNS)
