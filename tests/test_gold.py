@@ -68,3 +68,15 @@ def test_rolling_average_by_calendar_days_is_opt_in(spark):
 def test_top_customers_plan_has_no_full_sort(spark):
     plan = gold.top_customers(gold.order_grain(frame(spark, [line("o1")])))._jdf.queryExecution().executedPlan()
     assert "TakeOrderedAndProject" in plan.toString()
+
+
+def test_a_null_date_is_a_day_of_its_own_and_sorts_first(spark):
+    rows = [line("o1", day=None), line("o2"), line("o3"), line("o4", day=None)]
+    result = gold.rolling_order_volume(gold.order_grain(frame(spark, rows))).collect()
+    assert [tuple(r) for r in result] == [(None, 2, 2.0), (D, 2, 2.0)]
+    assert gold.daily_revenue_by_category(frame(spark, rows)).collect()[0].order_date is None
+
+
+def test_fewer_days_than_the_frame(spark):
+    rows = gold.rolling_order_volume(gold.order_grain(daily(spark, {0: 3, 1: 4}))).collect()
+    assert [r.rolling_7day_avg_order_volume for r in rows] == [3.0, 3.5]

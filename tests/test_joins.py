@@ -1,6 +1,9 @@
 import random
+from collections import Counter
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from compare import spark_table
@@ -135,3 +138,28 @@ def test_byte_settings(text, size):
 def test_other_join_types_are_refused(spark):
     with pytest.raises(ValueError):
         spread_join(spark.range(1), spark.range(1), "id", "full")
+
+
+KEYS = st.sampled_from(["a", "b", "c", "d", None])
+COPIES = st.lists(st.tuples(KEYS, st.integers(0, 3), st.integers(1, 40)), max_size=8)
+
+
+def copies(spark, groups, name):
+    rows = [(key, value) for key, value, times in groups for _ in range(times)]
+    return spark.createDataFrame(rows, f"key string, {name} int").repartition(3), rows
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(left=COPIES, right=COPIES, how=st.sampled_from(["inner", "left"]))
+def test_any_copies_on_either_side(shuffled_joins, left, right, how):
+    left_df, left_rows = copies(shuffled_joins, left, "l")
+    right_df, right_rows = copies(shuffled_joins, right, "r")
+    joined = spread_join(left_df, right_df, "key", how, right_keys=right_df, deal_by=["l"], buckets=2)
+    expected = Counter()
+    for key, value in left_rows:
+        matches = [r for k, r in right_rows if key is not None and k == key]
+        if how == "left" and not matches:
+            matches = [None]
+        expected.update((key, value, match) for match in matches)
+    counts = {(r.key, r.l, r.r): r["count"] for r in joined.groupBy("key", "l", "r").count().collect()}
+    assert counts == dict(expected)

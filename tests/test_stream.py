@@ -69,6 +69,11 @@ def test_unknown_fields_and_line_breaks_survive(spark):
     assert "\n" not in routed[0].value and json.loads(routed[0].value) == {"order_amount": 60, "gift": True}
 
 
+def test_a_record_without_value_is_a_dead_letter(spark):
+    routed = route_events(spark.createDataFrame([(None,)], "value string")).collect()
+    assert [tuple(r) for r in routed] == [(None, "dead_letter", "malformed")]
+
+
 def test_restart_lands_nothing_twice(spark, topic, out):
     publish(values(spark, event(1, 60)), topic)
     land(spark, topic, out)
