@@ -1,7 +1,8 @@
 """The given tables, seen as the raw order datasets.
 
-Each factor of a product is cast to decimal first, so the cents are exact in any
-engine. ``oracle.py`` states the same mapping for the SQL side.
+Money is double here, as raw files give it. A product is taken over whole cents
+and whole percents, so its four decimals are exact; the SQL in ``oracle.py`` gets
+the same values from decimals.
 """
 
 from __future__ import annotations
@@ -51,9 +52,8 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey AS order_id",
         "l_linenumber AS order_item_id",
         "l_partkey AS product_id",
-        "CAST(l_extendedprice AS DECIMAL(12,2)) AS price",
-        "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2))"
-        " AS DECIMAL(18,4)) AS freight_value",
+        "l_extendedprice AS price",
+        "rint(l_extendedprice * 100) * rint(l_tax * 100) / 10000 AS freight_value",
     )
 
 
@@ -65,9 +65,7 @@ def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         .selectExpr(
             "l_orderkey AS order_id",
             "l_linenumber AS payment_sequential",
-            "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) *"
-            " (CAST(1 AS DECIMAL(4,2)) - CAST(l_discount AS DECIMAL(4,2)))"
-            " AS DECIMAL(18,4)) AS payment_value",
+            "rint(l_extendedprice * 100) * (100 - rint(l_discount * 100)) / 10000 AS payment_value",
         )
     )
 
@@ -118,8 +116,8 @@ RAW_SCHEMAS = {
     "customers": "customer_id bigint, customer_unique_id string",
     "products": "product_id bigint, product_category_name string",
     "order_items": "order_id bigint, order_item_id int, product_id bigint,"
-    " price decimal(12,2), freight_value decimal(18,4)",
-    "order_payments": "order_id bigint, payment_sequential int, payment_value decimal(18,4)",
+    " price double, freight_value double",
+    "order_payments": "order_id bigint, payment_sequential int, payment_value double",
     "order_reviews": "conv_id bigint, turn bigint, role string, text string",
     "sellers": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
     "geolocation": "n_nationkey int, n_name string, n_regionkey int",

@@ -119,8 +119,8 @@ _CATALOG = {
     "orders": "order_id bigint, customer_id bigint, order_status string, order_purchase_timestamp timestamp",
     "customers": "customer_id bigint, customer_unique_id string",
     "products": "product_id bigint, product_category_name string",
-    "order_items": "order_id bigint, order_item_id int, product_id bigint, price decimal(12;2), freight_value decimal(18;4)",
-    "order_payments": "order_id bigint, payment_sequential int, payment_value decimal(18;4)",
+    "order_items": "order_id bigint, order_item_id int, product_id bigint, price double, freight_value double",
+    "order_payments": "order_id bigint, payment_sequential int, payment_value double",
     "order_reviews": "conv_id bigint, turn bigint, role string, text string",
     "sellers": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
     "geolocation": "n_nationkey int, n_name string, n_regionkey int",
@@ -134,7 +134,7 @@ def _catalog() -> str:
     for table, columns in _CATALOG.items():
         for column in f"{columns}, {audit}".split(", "):
             name, kind = column.split(" ")
-            rows.append(f"('{table}', '{name}', '{kind.replace(';', ',')}')")
+            rows.append(f"('{table}', '{name}', '{kind}')")
     return (
         "SELECT * FROM (VALUES " + ", ".join(rows) + ") t(table_name, column_name, data_type)"
     )
