@@ -26,9 +26,6 @@ IDLE_SECONDS = 15.0
 TOP_CUSTOMERS = 10
 ROLLING_ROWS = 7
 
-# Money is summed as decimal, so a total does not depend on task order.
-MONEY_TYPE = "decimal(18,4)"
-
 
 @dataclass(frozen=True)
 class RawDataset:

@@ -5,12 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.config import MONEY_TYPE
-
-
-def money(name: str, money_type: str = MONEY_TYPE) -> Column:
-    return F.col(name).cast(money_type)
-
 
 def rounded_amount(amount: Column) -> Column:
     return F.round(amount, 2)

@@ -6,15 +6,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderloom.functions.money import total
+
 
 def key_total(df: DataFrame, key: str, amount: Column, name: str) -> DataFrame:
     """Sum per key. NULL amounts are skipped; a key with only NULLs sums to NULL."""
-    return df.groupBy(key).agg(F.sum(amount).alias(name))
+    return df.groupBy(key).agg(total(df, amount).alias(name))
 
 
 def revenue_by(df: DataFrame, keys: list[str], revenue: Column, name: str = "revenue") -> DataFrame:
     """Sum per combination of keys; a NULL key is a group of its own."""
-    return df.groupBy(*keys).agg(F.sum(revenue).alias(name))
+    return df.groupBy(*keys).agg(total(df, revenue).alias(name))
 
 
 def customer_value(order_grain: DataFrame, customer: str, amount: str) -> DataFrame:

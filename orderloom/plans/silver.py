@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from orderloom.functions.columns import day_of, money
+from orderloom.functions.columns import day_of
 from orderloom.operators.aggregates import key_total
 from orderloom.operators.dedupe import keep_one
 from orderloom.operators.joins import spread_join
@@ -46,7 +47,7 @@ def clean_orders(orders: DataFrame) -> DataFrame:
 
 def order_amounts(payments: DataFrame) -> DataFrame:
     """What was paid per order, over all its payments."""
-    return key_total(payments, "order_id", money("payment_value"), "order_amount")
+    return key_total(payments, "order_id", F.col("payment_value"), "order_amount")
 
 
 def translate_categories(products: DataFrame, translation: DataFrame) -> DataFrame:
@@ -89,12 +90,7 @@ def order_lines(
         deal_by=["order_id"],
     )
     lines = spread_join(
-        order_items.select(
-            "order_id",
-            "product_id",
-            money("price").alias("price"),
-            money("freight_value").alias("freight_value"),
-        ),
+        order_items.select("order_id", "product_id", "price", "freight_value"),
         known_orders,
         "order_id",
         left_keys=order_items,

@@ -1,6 +1,6 @@
 """One callable per operator: ``(spark, sf_dir) -> DataFrame``.
 
-Each one reads whole tables. Money leaves as double, after the exact decimal sum.
+Each one reads whole tables.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.config import Layers, RunConfig, raw_datasets
-from orderloom.functions import event_json, parse_event, rounded_amount, utc_text
+from orderloom.functions import event_json, exact_total, parse_event, rounded_amount, utc_text
 from orderloom.operators.quality import (
     Between,
     InReference,
@@ -56,10 +56,6 @@ def query(fn: Query) -> Query:
     return run
 
 
-def plain_money(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: F.col(n).cast("double") for n in names})
-
-
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.order_lines(
         orders=src.orders(spark, sf_dir),
@@ -145,7 +141,7 @@ def orders_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def order_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain_money(silver.order_amounts(src.order_payments(spark, sf_dir)), "order_amount")
+    return silver.order_amounts(src.order_payments(spark, sf_dir))
 
 
 @query
@@ -155,13 +151,12 @@ def products_translated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain_money(lines(spark, sf_dir), "price", "freight_value", "order_amount")
+    return lines(spark, sf_dir)
 
 
 @query
 def silver_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = preview(lines(spark, sf_dir), ["order_id", "product_id", "price", "freight_value"])
-    return plain_money(top, "price", "freight_value", "order_amount")
+    return preview(lines(spark, sf_dir), ["order_id", "product_id", "price", "freight_value"])
 
 
 # ---- business aggregates
@@ -169,17 +164,17 @@ def silver_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def orders_order_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain_money(gold.order_grain(lines(spark, sf_dir)), "order_amount")
+    return gold.order_grain(lines(spark, sf_dir))
 
 
 @query
 def daily_revenue_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain_money(gold.daily_revenue_by_category(lines(spark, sf_dir)), "revenue")
+    return gold.daily_revenue_by_category(lines(spark, sf_dir))
 
 
 @query
 def top10_customers_ltv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain_money(gold.top_customers(gold.order_grain(lines(spark, sf_dir))), "lifetime_value")
+    return gold.top_customers(gold.order_grain(lines(spark, sf_dir)))
 
 
 @query
@@ -268,12 +263,7 @@ def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     failing = failing_rows(
         written_lines(spark, sf_dir), suite, {"customers": src.customers_with_gaps(spark, sf_dir)}
     )
-    return plain_money(
-        failing.withColumn("broken_rules", F.array_join("broken_rules", ",")),
-        "price",
-        "freight_value",
-        "order_amount",
-    )
+    return failing.withColumn("broken_rules", F.array_join("broken_rules", ","))
 
 
 # ---- event stream
@@ -330,10 +320,9 @@ def stream_landing_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = published(spark, event_text(spark, sf_dir))
     out = scratch_path(spark, "landing")
     drain(land_orders(stream_topic(spark, topic), out, f"{out}-checkpoint"))
-    landed = read_landing(spark, out).withColumn("order_amount", F.col("order_amount").cast("decimal(18,2)"))
-    return landed.groupBy("customer_id").agg(
+    return read_landing(spark, out).groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("order_count"),
-        F.sum("order_amount").cast("double").alias("total_amount"),
+        exact_total(F.col("order_amount")).alias("total_amount"),
     )
 
 
@@ -349,7 +338,7 @@ def stream_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return read_batches(spark, out).agg(
         F.count(F.lit(1)).alias("landed"),
-        F.sum(F.col("order_amount").cast("decimal(18,2)")).cast("double").alias("landed_amount"),
+        exact_total(F.col("order_amount")).alias("landed_amount"),
         F.lit(counts.matched).cast("long").alias("matched"),
         F.lit(counts.rejected).cast("long").alias("rejected"),
     )

@@ -1,18 +1,16 @@
 from datetime import date, timedelta
-from decimal import Decimal
 
 from orderloom.plans import gold
 
 LINE = (
-    "order_id string, customer_unique_id string, order_date date, order_amount decimal(18,4),"
-    " product_category_name_english string, price decimal(18,4), freight_value decimal(18,4)"
+    "order_id string, customer_unique_id string, order_date date, order_amount double,"
+    " product_category_name_english string, price double, freight_value double"
 )
 D = date(2018, 1, 1)
 
 
-def line(order, customer="u1", day=D, amount="10", category="toys", price="4", freight="1"):
-    dec = lambda v: None if v is None else Decimal(v)
-    return (order, customer, day, dec(amount), category, dec(price), dec(freight))
+def line(order, customer="u1", day=D, amount=10.0, category="toys", price=4.0, freight=1.0):
+    return (order, customer, day, amount, category, price, freight)
 
 
 def frame(spark, rows):
@@ -32,18 +30,18 @@ def test_revenue_keeps_the_null_category_and_skips_half_known_lines(spark):
         line("o4", category="food", freight=None),
     ]
     result = [tuple(r) for r in gold.daily_revenue_by_category(frame(spark, rows)).collect()]
-    assert result == [(D, None, Decimal("5.0000")), (D, "food", None), (D, "toys", Decimal("5.0000"))]
+    assert result == [(D, None, 5.0), (D, "food", None), (D, "toys", 5.0)]
 
 
 def test_order_amount_counts_once_per_order(spark):
-    orders = gold.order_grain(frame(spark, [line("o1"), line("o1"), line("o2", amount="5")]))
+    orders = gold.order_grain(frame(spark, [line("o1"), line("o1"), line("o2", amount=5.0)]))
     assert orders.count() == 2
-    assert [tuple(r) for r in gold.top_customers(orders).collect()] == [("u1", Decimal("15.0000"))]
+    assert [tuple(r) for r in gold.top_customers(orders).collect()] == [("u1", 15.0)]
 
 
 def test_top_customers_breaks_ties_by_key_and_puts_null_last(spark):
-    rows = [line(f"o{i}", customer=f"u{i:02d}", amount="7") for i in range(14)]
-    rows += [line("x", customer="u99", amount="8"), line("y", customer="u00x", amount=None)]
+    rows = [line(f"o{i}", customer=f"u{i:02d}", amount=7.0) for i in range(14)]
+    rows += [line("x", customer="u99", amount=8.0), line("y", customer="u00x", amount=None)]
     top = gold.top_customers(gold.order_grain(frame(spark, rows))).collect()
     assert [r.customer_unique_id for r in top] == ["u99"] + [f"u{i:02d}" for i in range(9)]
     few = gold.top_customers(gold.order_grain(frame(spark, rows[-2:]))).collect()

@@ -1,0 +1,66 @@
+import math
+import random
+from decimal import Decimal
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from orderloom.functions import exact_total, total
+from orderloom.plans import silver
+
+
+def total_of(spark, values, kind="double", parts=3):
+    df = spark.createDataFrame([(v,) for v in values], f"x {kind}").repartition(parts)
+    return df.agg(total(df, F.col("x")).alias("t")).collect()[0].t
+
+
+CENTS = st.integers(-(10**13), 10**13)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(units=st.lists(CENTS, min_size=1, max_size=60))
+def test_total_is_the_nearest_double_of_the_exact_sum(spark, units):
+    exact = sum((Decimal(u) / 10_000 for u in units), Decimal(0))
+    assert total_of(spark, [u / 10_000 for u in units]) == float(exact)
+
+
+def test_order_of_rows_does_not_matter(spark):
+    rng = random.Random(3)
+    values = [rng.randrange(10**9) / 100 for _ in range(3000)] + [0.1] * 1000
+    totals = {total_of(spark, rng.sample(values, len(values)), parts=p) for p in (1, 2, 7)}
+    assert totals == {float(sum((Decimal(repr(v)) for v in values), Decimal(0)))}
+
+
+def test_null_and_empty(spark):
+    assert total_of(spark, [None, 1.5, None]) == 1.5
+    assert total_of(spark, [None, None]) is None
+    assert total_of(spark, [0.0, None]) == 0.0
+    assert total_of(spark, []) is None
+
+
+def test_values_beyond_the_units(spark):
+    assert total_of(spark, [1e15, 0.25]) == 1e15 + 0.25
+    assert total_of(spark, [1e300]) == 1e300
+    assert total_of(spark, [math.inf, 1.0]) == math.inf
+    assert math.isnan(total_of(spark, [math.nan, 1.0]))
+
+
+def test_many_large_values_do_not_overflow(spark):
+    df = spark.range(20_000).selectExpr("8e14D AS x")
+    assert df.agg(exact_total(F.col("x")).alias("t")).collect()[0].t == 8e14 * 20_000
+
+
+@pytest.mark.parametrize("kind,values,expected", [
+    ("decimal(12,2)", [Decimal("0.10"), Decimal("0.20")], Decimal("0.30")),
+    ("int", [1, 2], 3),
+    ("float", [0.5, 0.25], 0.75),
+])
+def test_other_types(spark, kind, values, expected):
+    assert total_of(spark, values, kind) == expected
+
+
+def test_order_amounts(spark):
+    payments = spark.createDataFrame([("o1", 0.1)] * 1000, "order_id string, payment_value double")
+    assert silver.order_amounts(payments).collect()[0].order_amount == 100.0
