@@ -48,22 +48,24 @@ def refresh_table(
 ) -> int:
     """Replace a table with its schema and return the number of rows written.
 
-    The count is observed in the writing stage itself, so no second scan is made
-    and a rerun of a lost map task is not counted twice.
+    On Parquet the count is observed in the writing stage itself, so no second
+    scan is made and a rerun of a lost map task is not counted twice. Other
+    formats commit in their own way and answer a count from their metadata.
     """
     if cluster_by:
         df = clustered(df, *cluster_by)
     elif compact:
         df = compacted(df)
+    name = f"{database}.{table}"
+    if table_format != "parquet":
+        writer = df.write.format(table_format).mode("overwrite")
+        if table_format == "delta":
+            writer = writer.option("overwriteSchema", "true")
+        writer.saveAsTable(name)
+        return df.sparkSession.table(name).count()
     written = Observation()
-    writer = (
-        df.observe(written, F.count(F.lit(1)).alias("rows"))
-        .write.format(table_format)
-        .mode("overwrite")
-    )
-    if table_format == "delta":
-        writer = writer.option("overwriteSchema", "true")
-    writer.saveAsTable(f"{database}.{table}")
+    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    counted.write.format("parquet").mode("overwrite").saveAsTable(name)
     return written.get["rows"]
 
 

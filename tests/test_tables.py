@@ -33,6 +33,12 @@ def test_refresh_counts_an_empty_table(spark, layers):
     assert refresh_table(spark.range(0), layers.gold, "t", cluster_by=("id",)) == 0
 
 
+def test_other_formats_are_counted_too(spark, layers):
+    assert refresh_table(spark.range(5), layers.gold, "t", table_format="orc") == 5
+    assert refresh_table(spark.range(4).selectExpr("id AS n"), layers.gold, "t", table_format="orc", compact=True) == 4
+    assert read_table(spark, layers.gold, "t").columns == ["n"]
+
+
 def test_append(spark, layers):
     append_table(spark.range(2), layers.gold, "t")
     append_table(spark.range(3), layers.gold, "t")
