@@ -7,7 +7,7 @@ from orderloom.operators.aggregates import (
     trailing_average,
 )
 from orderloom.operators.dedupe import keep_one
-from orderloom.operators.joins import hot_keys, small_enough_to_broadcast, spread_join
+from orderloom.operators.joins import hot_keys, spread_join
 
 __all__ = [
     "customer_value",
@@ -17,7 +17,6 @@ __all__ = [
     "key_total",
     "largest",
     "revenue_by",
-    "small_enough_to_broadcast",
     "spread_join",
     "trailing_average",
 ]

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.sizing import small_enough_to_broadcast
+
 # A key is hot when it holds more than 1/HOT_SHARE of the rows, so fewer than
 # HOT_SHARE keys can be hot. The sketch that finds them keeps SKETCH_ITEMS
 # counters per task and merges to the same size; its error is far below that share.
@@ -21,23 +22,6 @@ ROWS_PER_BUCKET = 8
 
 _LEFT_BUCKET, _RIGHT_BUCKET = "_left_bucket", "_right_bucket"
 _COPIED, _MATCHED = "_copied", "_matched"
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-
-
-def _bytes(setting: str) -> int:
-    number, unit = re.fullmatch(r"(-?\d+)\s*([bkmgt]?)b?", setting.strip().lower()).groups()
-    return int(number) * _UNITS[unit]
-
-
-def small_enough_to_broadcast(spark: SparkSession, df: DataFrame) -> bool:
-    """Whether Spark's own size estimate is within its broadcast limit. An unknown
-    size counts as large."""
-    limit = _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-    try:
-        estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:
-        return False
-    return 0 <= estimate <= limit
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = 0) -> DataFrame:

@@ -15,6 +15,7 @@ from orderloom.operators.quality import failing_rows
 from orderloom.plans import bronze, gold, silver
 from orderloom.plans.quality_gate import Verdict, order_line_suite, record_run, run_suite
 from orderloom.sinks.tables import create_database, refresh_table
+from orderloom.sizing import size_shuffles
 from orderloom.sources.tables import read_table
 
 
@@ -42,6 +43,7 @@ def transform_silver(spark: SparkSession, cfg: RunConfig) -> dict[str, int]:
         return read_table(spark, cfg.layers.bronze, table)
 
     create_database(spark, cfg.layers.silver, cfg.layers.database_path(cfg.layers.silver))
+    size_shuffles(spark, raw("order_items"), raw("orders"), raw("order_payments"))
     lines = silver.order_lines(
         orders=raw("orders"),
         customers=raw("customers"),
@@ -56,8 +58,10 @@ def transform_silver(spark: SparkSession, cfg: RunConfig) -> dict[str, int]:
 
 def check_quality(spark: SparkSession, cfg: RunConfig) -> Verdict:
     suite = order_line_suite(cfg.first_order_date, cfg.last_order_date, cfg.min_order_amount)
+    lines = read_table(spark, cfg.layers.silver, "orders")
+    size_shuffles(spark, lines)
     verdict = run_suite(
-        read_table(spark, cfg.layers.silver, "orders"),
+        lines,
         suite,
         "silver_orders",
         {"customers": read_table(spark, cfg.layers.bronze, "customers")},
@@ -69,6 +73,7 @@ def check_quality(spark: SparkSession, cfg: RunConfig) -> Verdict:
 
 def build_gold(spark: SparkSession, cfg: RunConfig) -> dict[str, int]:
     lines = read_table(spark, cfg.layers.silver, "orders")
+    size_shuffles(spark, lines)
     database = cfg.layers.gold
     create_database(spark, database, cfg.layers.database_path(database))
     rows = {
@@ -108,8 +113,10 @@ def quarantine(spark: SparkSession, cfg: RunConfig) -> dict[str, int]:
     suite = order_line_suite(cfg.first_order_date, cfg.last_order_date, cfg.min_order_amount)
     database = cfg.layers.quarantine
     create_database(spark, database, cfg.layers.database_path(database))
+    lines = read_table(spark, cfg.layers.silver, "orders")
+    size_shuffles(spark, lines)
     failing = failing_rows(
-        read_table(spark, cfg.layers.silver, "orders"),
+        lines,
         suite,
         {"customers": read_table(spark, cfg.layers.bronze, "customers")},
     )

@@ -30,6 +30,7 @@ from orderloom.plans import bronze, gold, quality_gate, silver
 from orderloom.plans.staged_run import run_stages
 from orderloom.session import apply_settings, scratch_path
 from orderloom.sinks import create_database, publish, refresh_table
+from orderloom.sizing import size_shuffles
 from orderloom.sources import (
     Topic,
     list_columns,
@@ -57,10 +58,12 @@ def query(fn: Query) -> Query:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, items = src.orders(spark, sf_dir), src.order_items(spark, sf_dir)
+    size_shuffles(spark, orders, items)
     return silver.order_lines(
-        orders=src.orders(spark, sf_dir),
+        orders=orders,
         customers=src.customers(spark, sf_dir),
-        order_items=src.order_items(spark, sf_dir),
+        order_items=items,
         payments=src.order_payments(spark, sf_dir),
         products=src.products(spark, sf_dir),
         translation=src.translation(spark, sf_dir),

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from compare import spark_table
-from orderloom.operators.joins import _bytes, hot_keys, small_enough_to_broadcast, spread_join
+from orderloom.operators.joins import hot_keys, spread_join
 
 
 def plan_of(df):
@@ -118,23 +118,6 @@ def test_small_side_is_joined_without_salt(spark):
     assert "_left_bucket" in plan_of(spread_join(small, large, "key", "left"))
 
 
-def test_size_check(spark):
-    few, many = spark.range(10), spark.range(100_000_000)
-    assert small_enough_to_broadcast(spark, few)
-    assert not small_enough_to_broadcast(spark, many)
-
-
-def test_size_check_respects_the_setting(shuffled_joins):
-    assert not small_enough_to_broadcast(shuffled_joins, shuffled_joins.range(1))
-
-
-@pytest.mark.parametrize(
-    "text,size", [("10485760b", 10 << 20), ("10MB", 10 << 20), ("-1", -1), ("64k", 64 << 10), ("1g", 1 << 30)]
-)
-def test_byte_settings(text, size):
-    assert _bytes(text) == size
-
-
 def test_other_join_types_are_refused(spark):
     with pytest.raises(ValueError):
         spread_join(spark.range(1), spark.range(1), "id", "full")

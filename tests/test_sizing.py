@@ -1,0 +1,50 @@
+import pytest
+
+from orderloom.sizing import (
+    MOST_PARTITIONS,
+    estimated_bytes,
+    parse_bytes,
+    size_shuffles,
+    small_enough_to_broadcast,
+)
+
+
+@pytest.fixture
+def four_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    yield spark
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_broadcast_check(spark):
+    few, many = spark.range(10), spark.range(100_000_000)
+    assert small_enough_to_broadcast(spark, few)
+    assert not small_enough_to_broadcast(spark, many)
+
+
+def test_broadcast_check_respects_the_setting(shuffled_joins):
+    assert not small_enough_to_broadcast(shuffled_joins, shuffled_joins.range(1))
+
+
+def test_unknown_size_is_large(spark):
+    unknown = spark.createDataFrame([(1,)], "n int")
+    assert estimated_bytes(unknown) is None
+    assert not small_enough_to_broadcast(spark, unknown)
+
+
+@pytest.mark.parametrize(
+    "text,size", [("10485760b", 10 << 20), ("10MB", 10 << 20), ("-1", -1), ("64k", 64 << 10), ("1g", 1 << 30)]
+)
+def test_byte_settings(text, size):
+    assert parse_bytes(text) == size
+
+
+def test_shuffles_grow_with_the_largest_input(four_partitions):
+    spark = four_partitions
+    assert size_shuffles(spark, spark.range(1000), spark.createDataFrame([(1,)], "n int")) == 4
+    # 8 bytes times 2^30 rows are 16 partitions of 512 MB.
+    assert size_shuffles(spark, spark.range(1 << 30), spark.range(10)) == 16
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "16"
+    assert size_shuffles(spark, spark.range(10)) == 16
+    assert size_shuffles(spark, spark.range(1 << 50)) == MOST_PARTITIONS
