@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -37,21 +35,22 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="orderloom-")
+def scratch_root(spark: SparkSession) -> str:
+    """The folder of this application's scratch data, below one that every executor reaches.
+
+    The cluster names that folder in ``spark.checkpoint.dir``. Where the setting is
+    missing, as in tests, it is the warehouse, which is shared as well.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/orderloom-{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the folder that every executor can reach.
+    """A new path for scratch data."""
+    return f"{scratch_root(spark)}/{uuid.uuid4().hex}/{label}"
 
-    The cluster names that folder in ``spark.checkpoint.dir``. A folder of this
-    machine is used only on a local master where the setting is missing.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = _local_root()
-    return f"{root.rstrip('/')}/orderloom-{uuid.uuid4().hex}/{label}"
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all scratch data of this application, once no result that reads it is needed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
