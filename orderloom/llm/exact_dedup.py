@@ -53,6 +53,7 @@ def advance(digests: DataFrame, checkpoint: str) -> None:
         spark,
         spark__sql__streaming__stateStore__providerClass=provider,
         spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled="true",
+        spark__sql__streaming__stateStore__rocksdb__allowFAllocate="false",
         spark__sql__streaming__stateStore__rocksdb__boundedMemoryUsage="true",
         spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB="256",
     ):
