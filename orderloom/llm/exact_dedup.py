@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm.tables import Scratch, settings, text_or_empty
+from orderloom.llm.tables import Scratch, join_counted, settings, text_or_empty
 
 Digest = Callable[[Column], Column]
 
@@ -100,12 +100,13 @@ def exact_dedup(docs: DataFrame, digest: Digest = sha256, files_per_batch: int |
     state = scratch.write(read_state(spark, checkpoint), "state-rows")
 
     hits = state.where("group_size > 1")
-    compared = texts.withColumn("digest", digest(F.col("text"))).join(hits.select("digest"), "digest", "left_semi")
+    known = hits.select("digest", F.col("group_size").alias("_size"))
+    compared = join_counted(texts.withColumn("digest", digest(F.col("text"))), known, "digest", "_size").drop("_size")
     by_bytes = keyed_by_bytes(compared)
     several = by_bytes.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
     collided = scratch.write(several.select("digest"), "collisions")
 
-    whole = _answer(digests.join(state, "digest"))
+    whole = _answer(join_counted(digests, state, "digest", "group_size"))
     if collided.isEmpty():
         return whole
     # Texts that share a digest: by bytes, apart from all others.

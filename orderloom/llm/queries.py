@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm.chat import chat_digests, format_chats
 from orderloom.llm.exact_dedup import exact_dedup
 from orderloom.llm.mixing import mix_documents
+from orderloom.llm.packing import pack
 from orderloom.llm.url_rules import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +36,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
     return judge_urls(_table(spark, sf_dir, "pages"), rules)
@@ -54,6 +60,7 @@ QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
         op1_exact_dedup,
+        op5_best_fit_packing,
         op6_url_filters,
         op7_source_mixing,
         op8_chat_formatting,

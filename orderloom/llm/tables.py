@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,6 +12,19 @@ from pyspark.sql import functions as F
 from orderloom.session import scratch_path
 
 
+def show_package_to_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver found it.
+
+    On a cluster it is installed or sent along; this covers a session that was
+    started from another folder of the same machine.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 class Scratch:
     """Tables in the folder that all executors share.
 
@@ -20,6 +35,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = scratch_path(spark, label)
+        show_package_to_workers(spark)
         self._count = 0
 
     def path(self, name: str) -> str:
@@ -85,6 +101,24 @@ def running_total(
     )
 
 
+MOST_HOT = 1000
+
+
+def join_counted(rows: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame:
+    """Inner join of ``rows`` with ``table``, which has one row per key and says in
+    ``count`` how many rows have it.
+
+    Keys with more than a thousandth of the rows number fewer than a thousand, so
+    their part of the table is broadcast and their rows stay where they are. Only
+    the other rows are shuffled.
+    """
+    total = table.agg(F.sum(count)).first()[0] or 0
+    is_hot = F.col(count) > total / MOST_HOT
+    hot = F.broadcast(table.where(is_hot))
+    others = rows.join(F.broadcast(table.where(is_hot).select(key)), key, "left_anti")
+    return rows.join(hot, key).unionByName(others.join(table.where(~is_hot), key))
+
+
 def spread(*key: Column, buckets: int = 256) -> Column:
     """A bucket made of a row's own values, the same when a task runs again."""
     return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
