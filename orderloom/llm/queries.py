@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from orderloom.llm.chat import chat_digests, format_chats
 from orderloom.llm.exact_dedup import exact_dedup
 from orderloom.llm.mixing import mix_documents
+from orderloom.llm.near_dup import near_duplicates
 from orderloom.llm.packing import pack
+from orderloom.llm.separator_scan import token_counts
+from orderloom.llm.toxicity import learn, score_documents
 from orderloom.llm.url_rules import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +39,15 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return score_documents(docs, learn(docs, _table(spark, sf_dir, "labels")))
+
+
+def op4_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -56,13 +68,20 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digests(format_chats(turns.unionByName(added)))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
         op1_exact_dedup,
+        op3_toxicity,
+        op4_separator_scan,
         op5_best_fit_packing,
         op6_url_filters,
         op7_source_mixing,
         op8_chat_formatting,
+        op9_near_duplicates,
     )
 }

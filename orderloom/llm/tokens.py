@@ -5,23 +5,36 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
 from itertools import chain
 
 import numpy as np
 from tokenizers import Tokenizer
 
-# Documents are tokenised in groups of about this many characters, and a worker
-# keeps the ids of at most this many distinct words.
+# Documents are tokenised in groups of about this many characters. Between groups a
+# worker keeps the ids of about this many distinct words, the most frequent ones.
 GROUP_CHARS = 1 << 20
-MOST_WORDS = 600_000
+MOST_WORDS = 250_000
 
 # Letters that stay one word through normalisation, and what may close a word.
-PLAIN = re.compile(r"[a-zA-ZÀ-ÖØ-öø-ÿ]+([.,;:!?]*)\Z")
+PLAIN = re.compile(rb"(?:[a-zA-Z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+([.,;:!?]*)\Z")
 PLAIN_PER_CALL = 500
 
 
+class Numbers(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __init__(self, words: Sequence[bytes] = ()):
+        super().__init__(zip(words, range(len(words)), strict=True))
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
 class WordTokenizer:
     """Ids of a tokenizer that lowers case and drops white space, word by word.
 
@@ -34,71 +47,79 @@ class WordTokenizer:
     def __init__(self, path: str, separator: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks use the cores
         self.tokenizer = Tokenizer.from_file(path)
-        self.separator = separator
         suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, nr in vocabulary.items():
             self.is_end[nr] = bool(suffix) and token.endswith(suffix)
-        self._forget()
-
-    def _forget(self) -> None:
         # The empty word, which splitting never gives, stands for the separator.
-        self.known: dict[bytes, int] = {b"": 0}
+        self.numbers = Numbers([b""])
         self.starts = np.array([0], np.int64)
         self.lengths = np.array([1], np.int64)
-        self.ids = np.array([self.separator], np.uint32)
+        self.uses = np.array([1], np.int64)
+        self.ids = np.array([separator], np.uint32)
+
+    def _keep_frequent(self) -> None:
+        floor = max(2, np.partition(self.uses, -MOST_WORDS // 2)[-MOST_WORDS // 2] + 1)
+        keep = self.uses >= floor
+        keep[0] = True
+        words = [w for w, kept in zip(self.numbers, keep.tolist(), strict=True) if kept]
+        starts, self.lengths, self.uses = self.starts[keep], self.lengths[keep], self.uses[keep] // 2
+        ends = np.cumsum(self.lengths)
+        self.ids = self.ids[np.repeat(starts - (ends - self.lengths), self.lengths) + np.arange(ends[-1])]
+        self.starts, self.numbers = ends - self.lengths, Numbers(words)
 
     def _encode_each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths
 
-    def _encode_plain(self, words: list[str], parts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_plain(self, words: list[bytes], parts: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """``parts``: how many words the tokenizer makes of each one."""
-        runs = [" ".join(words[i : i + PLAIN_PER_CALL]) for i in range(0, len(words), PLAIN_PER_CALL)]
+        runs = [b" ".join(words[i : i + PLAIN_PER_CALL]).decode() for i in range(0, len(words), PLAIN_PER_CALL)]
         flat, _ = self._encode_each(runs)
         ends = np.flatnonzero(self.is_end[flat]) + 1
         ends = ends[np.cumsum(np.array(parts, np.int64)) - 1]
         return flat, np.diff(ends, prepend=0)
 
-    def _learn(self, new: list[bytes]) -> None:
-        words = [w.decode() for w in new]
-        matches = [PLAIN.match(w) if self.is_end.any() else None for w in words]
-        plain = [i for i, m in enumerate(matches) if m]
-        other = [i for i, m in enumerate(matches) if not m]
-        parts = [1 + bool(matches[i][1]) for i in plain]
-        flat, lengths = zip(
-            self._encode_plain([words[i] for i in plain], parts), self._encode_each([words[i] for i in other]), strict=True
-        )
-        lengths = np.concatenate(lengths)
-        ends = len(self.ids) + np.cumsum(lengths)
-        order = (new[i] for i in plain + other)
-        self.known.update(zip(order, range(len(self.known), len(self.known) + len(new)), strict=True))
-        self.starts = np.concatenate([self.starts, ends - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.ids = np.concatenate([self.ids, *flat])
+    def _learn_new(self) -> None:
+        words, self.numbers.new = self.numbers.new, []
+        parts = np.ones(len(words), np.int64)
+        joint = self.is_end.any()
+        for i, word in enumerate(words):
+            if not word.isalpha():  # ASCII letters only
+                match = PLAIN.match(word)
+                parts[i] = 1 + bool(match[1]) if match else 0
+        plain = np.flatnonzero(parts) if joint else np.array([], np.int64)
+        other = np.setdiff1d(np.arange(len(words)), plain, assume_unique=True)
+        plain_ids, plain_lengths = self._encode_plain([words[i] for i in plain.tolist()], parts[plain])
+        other_ids, other_lengths = self._encode_each([words[i].decode() for i in other.tolist()])
+        lengths = np.concatenate([plain_lengths, other_lengths])
+        starts = len(self.ids) + np.cumsum(lengths) - lengths
+        order = np.argsort(np.concatenate([plain, other]))
+        self.starts = np.concatenate([self.starts, starts[order]])
+        self.lengths = np.concatenate([self.lengths, lengths[order]])
+        self.uses = np.concatenate([self.uses, np.zeros(len(words), np.int64)])
+        self.ids = np.concatenate([self.ids, plain_ids, other_ids])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by the separator, and where each one ends."""
+        if len(self.numbers) > MOST_WORDS:
+            self._keep_frequent()
         # Lower case makes fewer distinct words; the names of special tokens need theirs.
         data = (text.encode() for text in texts)
         words = [(d if b"<|" in d else d.lower()).split() + [b""] for d in data]
-        flat = list(chain.from_iterable(words))
-        distinct = set(flat)
-        unknown = [w for w in distinct if w not in self.known]
-        if len(self.known) + len(unknown) > MOST_WORDS:
-            self._forget()
-            unknown = [w for w in distinct if w]
-        if unknown:
-            self._learn(unknown)
-        at = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+        in_text = np.fromiter(map(len, words), np.int64, len(words))
+        flat = chain.from_iterable(words)
+        at = np.fromiter(map(self.numbers.__getitem__, flat), np.int64, int(in_text.sum()))
+        if self.numbers.new:
+            self._learn_new()
+        self.uses += np.bincount(at, minlength=len(self.uses))
         lengths = self.lengths[at]
         ends = np.cumsum(lengths)
         shift = np.repeat(self.starts[at] - (ends - lengths), lengths)
-        ids = self.ids[shift + np.arange(len(shift))]
-        last_word = np.cumsum(np.fromiter(map(len, words), np.int64, len(words))) - 1
-        return ids, ends[last_word]
+        shift += np.arange(len(shift))
+        return self.ids[shift], ends[np.cumsum(in_text) - 1]
 
 
 @cache
