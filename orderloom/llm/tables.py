@@ -108,12 +108,15 @@ def join_counted(rows: DataFrame, table: DataFrame, key: str, count: str) -> Dat
     """Inner join of ``rows`` with ``table``, which has one row per key and says in
     ``count`` how many rows have it.
 
-    Keys with more than a thousandth of the rows number fewer than a thousand, so
-    their part of the table is broadcast and their rows stay where they are. Only
-    the other rows are shuffled.
+    Keys with more than a thousandth of the rows, and more than a thousand, number
+    fewer than a thousand, so their part of the table is broadcast and their rows
+    stay where they are. Only the other rows are shuffled.
     """
-    total = table.agg(F.sum(count)).first()[0] or 0
-    is_hot = F.col(count) > total / MOST_HOT
+    total, most = table.agg(F.sum(count), F.max(count)).first()
+    limit = max(MOST_HOT, (total or 0) / MOST_HOT)
+    if (most or 0) <= limit:
+        return rows.join(table, key)
+    is_hot = F.col(count) > limit
     hot = F.broadcast(table.where(is_hot))
     others = rows.join(F.broadcast(table.where(is_hot).select(key)), key, "left_anti")
     return rows.join(hot, key).unionByName(others.join(table.where(~is_hot), key))
