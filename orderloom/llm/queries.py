@@ -12,6 +12,7 @@ from orderloom.llm.chat import chat_digests, format_chats
 from orderloom.llm.exact_dedup import exact_dedup
 from orderloom.llm.mixing import mix_documents
 from orderloom.llm.near_dup import near_duplicates
+from orderloom.llm.neighbours import nearest_neighbours
 from orderloom.llm.packing import pack
 from orderloom.llm.separator_scan import token_counts
 from orderloom.llm.toxicity import learn, score_documents
@@ -72,6 +73,10 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
@@ -83,5 +88,6 @@ QUERIES: dict[str, Query] = {
         op7_source_mixing,
         op8_chat_formatting,
         op9_near_duplicates,
+        op10_nearest_neighbours,
     )
 }
