@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.chat import chat_digests, format_chats
 from orderloom.llm.exact_dedup import exact_dedup
+from orderloom.llm.html_text import extract_text
 from orderloom.llm.mixing import mix_documents
 from orderloom.llm.near_dup import near_duplicates
 from orderloom.llm.neighbours import nearest_neighbours
@@ -40,6 +41,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return score_documents(docs, learn(docs, _table(spark, sf_dir, "labels")))
@@ -81,6 +86,7 @@ QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
         op1_exact_dedup,
+        op2_html_extraction,
         op3_toxicity,
         op4_separator_scan,
         op5_best_fit_packing,
