@@ -173,7 +173,9 @@ def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
 
     wanted = F.array(*(F.lit(int(t)) for t in chosen)) if len(chosen) else F.array().cast("array<int>")
     kept = lists.select("toxic", F.array_sort(F.array_intersect("terms", wanted)).alias("terms"))
-    table = kept.orderBy("toxic", "terms").toPandas() if rows else pd.DataFrame({"toxic": [], "terms": []})
+    table = kept.toPandas() if rows else pd.DataFrame({"toxic": [], "terms": []})
+    # The same order in every run, whatever the order of tasks.
+    table = table.iloc[sorted(range(len(table)), key=lambda i: (table["toxic"][i], tuple(table["terms"][i])))]
     lengths = np.fromiter(map(len, table["terms"]), np.int64, len(table))
     flat = np.concatenate([np.empty(0, np.int64), *table["terms"]]).astype(np.int64)
     doc = np.repeat(np.arange(len(table)), lengths)
