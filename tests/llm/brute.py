@@ -1,0 +1,54 @@
+"""Plain Python versions of the operators, for small inputs."""
+
+import html
+import itertools
+import re
+import string
+
+LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
+
+
+def shingles(text):
+    words = (text or "").encode().translate(LOWER).split()
+    if len(words) < 4:
+        return frozenset([tuple(words)] if words else [])
+    return frozenset(tuple(words[i : i + 4]) for i in range(len(words) - 3))
+
+
+def near_components(docs):
+    """doc_id -> (size of the set, component), by comparing all pairs."""
+    sets = {doc: shingles(text) for doc, text in docs}
+    root = {doc: doc for doc in sets}
+
+    def top(doc):
+        while root[doc] != doc:
+            doc = root[doc]
+        return doc
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        if sets[a] and sets[b] and min(len(sets[a]), len(sets[b])) * 100 >= 80 * max(len(sets[a]), len(sets[b])):
+            shared = len(sets[a] & sets[b])
+            if 100 * shared >= 80 * (len(sets[a]) + len(sets[b]) - shared):
+                x, y = sorted((top(a), top(b)))
+                root[y] = x
+    return {doc: (len(sets[doc]), top(doc)) for doc in sets}
+
+
+def best_fit(lengths, capacity):
+    """Room left in each bin after best fit decreasing, piece by piece."""
+    rooms = []
+    for length in sorted(lengths, reverse=True):
+        fitting = [(room, i) for i, room in enumerate(rooms) if room >= length]
+        if fitting:
+            rooms[min(fitting)[1]] -= length
+        else:
+            rooms.append(capacity - length)
+    return sorted(rooms)
+
+
+def article(page):
+    """The main text of the given pages, which all mark it by an article element."""
+    found = re.search(r"<article>(.*?)(</article>|$)", page or "", re.S)
+    blocks = re.split(r"</?(?:p|h1)>", found[1]) if found else []
+    texts = (" ".join(html.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in blocks)
+    return "\n".join(t for t in texts if t)

@@ -1,0 +1,135 @@
+"""The registered queries of the operators: against SQL, or against brute force."""
+
+import math
+import zlib
+
+import numpy as np
+import pytest
+import public_tokenizers
+import sentencepiece
+from tokenizers import Tokenizer
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from compare import connect, duck_table, spark_table
+from llm.brute import article, best_fit, near_components
+from orderloom.llm.oracle import ORACLE_SQL
+from orderloom.llm.queries import QUERIES
+
+
+@pytest.fixture(scope="module")
+def duck(sf_dir):
+    return connect(sf_dir)
+
+
+@pytest.fixture(scope="module")
+def texts(duck):
+    return dict(duck.execute("SELECT doc_id, coalesce(text, '') FROM documents").fetchall())
+
+
+def run(spark, sf_dir, name):
+    return QUERIES[name](spark, sf_dir).collect()
+
+
+def test_all_operators_are_registered():
+    numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
+    assert numbers == list(range(1, 11))
+    assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "mixing", "packing"]
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_matches_sql(spark, duck, sf_dir, name):
+    assert spark_table(QUERIES[name](spark, sf_dir)) == duck_table(duck, ORACLE_SQL[name])
+
+
+def test_html_extraction(spark, duck, sf_dir):
+    pages = dict(duck.execute("SELECT page_id, html FROM pages").fetchall())
+    rows = run(spark, sf_dir, "op2_html_extraction")
+    assert {r.page_id: r.text for r in rows} == {page: article(html) for page, html in pages.items()}
+    assert all(r.n_chars == len(r.text) for r in rows)
+
+
+def test_toxicity_holds_out_a_fifth_and_scores_all(spark, sf_dir, texts):
+    rows = run(spark, sf_dir, "op3_toxicity")
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5)
+
+
+def test_separator_scan(spark, sf_dir, texts):
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    counted = {r.doc_id: r.n_tokens for r in run(spark, sf_dir, "op4_separator_scan")}
+    assert counted == {doc: len(model.encode(text)) for doc, text in texts.items()}
+
+
+def test_packing(spark, sf_dir, texts):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rows, lengths, sequences = run(spark, sf_dir, "op5_best_fit_packing"), [], {}
+    pieces = {(r.doc_id, r.piece): r for r in rows}
+    assert len(pieces) == len(rows)
+    for doc, text in texts.items():
+        ids = tokenizer.encode(text, add_special_tokens=False).ids + [1]
+        for nr, start in enumerate(range(0, len(ids), 4096)):
+            piece, own = pieces.pop((doc, nr)), np.array(ids[start : start + 4096], "<u4")
+            assert (piece.start, piece.length, piece.ids_crc32) == (start, len(own), zlib.crc32(own.tobytes()))
+            lengths.append(len(own))
+            sequences.setdefault(piece.sequence_id, []).append((piece.offset, piece.length))
+    assert not pieces
+    for members in sequences.values():
+        ends = np.cumsum([length for _, length in sorted(members)]).tolist()
+        assert [offset for offset, _ in sorted(members)] == [0, *ends[:-1]] and ends[-1] <= 4096
+    assert sorted(4096 - sum(n for _, n in m) for m in sequences.values()) == best_fit(lengths, 4096)
+
+
+def test_near_duplicates(spark, sf_dir, texts):
+    rows = run(spark, sf_dir, "op9_near_duplicates")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == near_components(texts.items())
+    assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
+
+
+def test_nearest_neighbours(spark, duck, sf_dir):
+    given = duck.execute("SELECT vec_id, embedding FROM embeddings ORDER BY vec_id").fetchnumpy()
+    ids, points = given["vec_id"], np.stack(given["embedding"]).astype(float)
+    rows, found = run(spark, sf_dir, "op10_nearest_neighbours"), 0
+    by_query = {q: sorted((r for r in rows if r.query_id == q), key=lambda r: r["rank"]) for q in {r.query_id for r in rows}}
+    assert sorted(by_query) == ids[ids % 100 == 0].tolist()
+    for query, answers in by_query.items():
+        apart = [math.dist(p, points[np.searchsorted(ids, query)]) for p in points]
+        best = [i for _, i in sorted(zip(apart, ids.tolist(), strict=True)) if i != query][:10]
+        assert [r["rank"] for r in answers] == list(range(1, 11))
+        assert all(math.isclose(r.score, apart[np.searchsorted(ids, r.vec_id)], rel_tol=1e-12) for r in answers)
+        found += len({r.vec_id for r in answers} & set(best))
+    assert found >= 9 * len(by_query)
+
+
+def test_pipeline_stages(spark, sf_dir, texts):
+    """Each stage keeps the columns of documents and does its part on what it is given."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    clean = stages["toxicity"](spark, docs, sf_dir)
+    scores = {r.doc_id: r.predicted for r in run(spark, sf_dir, "op3_toxicity")}
+    assert clean.columns == docs.columns
+    assert sorted(r.doc_id for r in clean.collect()) == sorted(d for d, toxic in scores.items() if not toxic)
+
+    unique = stages["exact_dedup"](spark, docs, sf_dir)
+    last = {text: doc for doc, text in sorted(texts.items())}
+    assert unique.columns == docs.columns
+    assert sorted(r.doc_id for r in unique.collect()) == sorted(last.values())
+
+    alone = stages["near_dedup"](spark, docs, sf_dir)
+    assert alone.columns == docs.columns
+    assert {r.doc_id for r in alone.collect()} == {d for d, (_, c) in near_components(texts.items()).items() if c == d}
+
+    mixed = stages["mixing"](spark, docs, sf_dir)
+    taken = {r.doc_id: (2 * r.taken + r["size"]) // (2 * r["size"]) for r in run(spark, sf_dir, "op7_source_mixing") if r["size"]}
+    assert mixed.columns == docs.columns
+    counts = {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()}
+    assert counts == {doc: n for doc, n in taken.items() if n}
+
+
+def test_pipeline_runs_to_packed_pieces(spark, sf_dir):
+    result = corpus_pipeline.run(spark, sf_dir)
+    assert result.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert result.count() > 0
