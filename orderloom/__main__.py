@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import argparse
+import json
 from datetime import date
+from pathlib import Path
 
 from orderloom import config
 from orderloom.plans import staged_run
@@ -14,6 +16,11 @@ from orderloom.streaming import StreamCounts, drain, land_and_print, land_orders
 STAGES = ("bronze", "silver", "quality", "gold", "quarantine", "all")
 
 
+def pair(text: str) -> tuple[str, str]:
+    key, _, value = text.partition("=")
+    return key, value
+
+
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="orderloom")
     parser.add_argument("--master")
@@ -24,6 +31,11 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         stage.add_argument("--file-pattern", default="{table}.csv")
         stage.add_argument("--translation-file", help="file name of the category translation")
         stage.add_argument("--multi-line", nargs="*", default=[], metavar="TABLE")
+        stage.add_argument("--schemas", help="JSON file with a schema text per table; without one Spark reads twice")
+        stage.add_argument("--min-amount", type=float, default=0)
+        stage.add_argument("--top", type=int, default=config.TOP_CUSTOMERS, help="customers in the ranking")
+        stage.add_argument("--run-name", default="order_run")
+        stage.add_argument("--database", nargs="*", default=[], metavar="LAYER=NAME", type=pair)
         stage.add_argument("--table-format", default="parquet")
         stage.add_argument("--location", help="shared folder for the tables")
         stage.add_argument("--first-date", type=date.fromisoformat, default=config.FIRST_ORDER_DATE)
@@ -36,16 +48,25 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     stream.add_argument("--threshold", type=float, default=config.HIGH_VALUE_THRESHOLD)
     stream.add_argument("--idle-seconds", type=float, help="keep listening until idle this long")
     stream.add_argument("--batch-limit", type=int)
-    stream.add_argument("--print-matches", action="store_true")
+    stream.add_argument("--min-partitions", type=int)
+    stream.add_argument("--option", nargs="*", default=[], metavar="KEY=VALUE", type=pair, help="for the connector")
+    stream.add_argument("--every", default="1 second", help="time between batches while listening")
+    stream.add_argument("--print-matches", action="store_true", help="also print every match, and show the first")
     return parser.parse_args(argv)
 
 
 def run_config(args: argparse.Namespace) -> config.RunConfig:
+    schemas = json.loads(Path(args.schemas).read_text()) if args.schemas else None
     files = {"product_category_translation": args.translation_file} if args.translation_file else None
     return config.RunConfig(
         raw_root=args.raw_root,
-        datasets=config.raw_datasets(args.file_pattern, files=files, multi_line=tuple(args.multi_line)),
-        layers=config.Layers(location=args.location),
+        datasets=config.raw_datasets(
+            args.file_pattern, files=files, schemas=schemas, multi_line=tuple(args.multi_line)
+        ),
+        layers=config.Layers(**dict(args.database), location=args.location),
+        min_order_amount=args.min_amount,
+        top_customers=args.top,
+        run_name=args.run_name,
         table_format=args.table_format,
         first_order_date=args.first_date,
         last_order_date=args.last_date,
@@ -73,13 +94,18 @@ def run_stage(spark, args: argparse.Namespace) -> None:
 
 def run_stream(spark, args: argparse.Namespace) -> StreamCounts:
     topic = Topic(
-        args.topic, "kafka" if args.brokers else "folder", args.brokers, batch_limit=args.batch_limit
+        args.topic,
+        "kafka" if args.brokers else "folder",
+        args.brokers,
+        batch_limit=args.batch_limit,
+        min_partitions=args.min_partitions,
+        options=dict(args.option),
     )
     counts = StreamCounts()
-    shared = dict(threshold=args.threshold, continuous=args.idle_seconds is not None)
+    shared = dict(threshold=args.threshold, continuous=args.idle_seconds is not None, every=args.every)
     target = (stream_topic(spark, topic), args.landing, args.checkpoint)
     if args.print_matches:
-        drain(land_and_print(*target, counts=counts, **shared), args.idle_seconds)
+        drain(land_and_print(*target, counts=counts, preview=print, **shared), args.idle_seconds)
     else:
         counts = drain(land_orders(*target, **shared), args.idle_seconds)
     print(f"landed {counts.matched}, rejected {counts.rejected}: {args.landing}")

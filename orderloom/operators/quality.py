@@ -17,6 +17,12 @@ from orderloom.operators.joins import spread_join
 
 References = Mapping[str, DataFrame]
 
+
+def _is_nan(name: str) -> Column:
+    """NaN, which schema inference may give for a missing number; for other types
+    than floating ones Spark folds this to false."""
+    return F.typeof(F.col(name)).isin("double", "float") & (F.col(name).cast("string") == "NaN")
+
 _KNOWN = "_known"
 
 
@@ -30,13 +36,13 @@ class NotNull:
         return ""
 
     def broken(self) -> Column:
-        return F.col(self.column).isNull()
+        return F.col(self.column).isNull() | _is_nan(self.column)
 
 
 @dataclass(frozen=True)
 class Between:
     """Bounds are part of the range unless the matching ``strict`` flag is set. A
-    NULL value breaks no range."""
+    missing value, NULL or NaN, breaks no range."""
 
     column: str
     low: float | date | None = None
@@ -62,7 +68,7 @@ class Between:
         if self.high is not None:
             high = F.lit(self.high)
             outside = outside | (value >= high if self.strict_high else value > high)
-        return outside
+        return outside & ~_is_nan(self.column)
 
 
 @dataclass(frozen=True)

@@ -26,8 +26,10 @@ def daily_revenue_by_category(lines: DataFrame, *, ordered: bool = True) -> Data
 
 def order_grain(lines: DataFrame) -> DataFrame:
     """One row per order: amounts and dates repeat on the lines of an order and
-    must not be added up there."""
-    return keep_one(lines, ["order_id"], ["customer_unique_id", "order_date", "order_amount"])
+    must not be added up there. Equal rows collapse first, in a hash aggregate, so
+    that no sort sees all lines."""
+    columns = ["order_id", "customer_unique_id", "order_date", "order_amount"]
+    return keep_one(lines.select(*columns).distinct(), ["order_id"], ["customer_unique_id", "order_date", "order_amount"])
 
 
 def top_customers(orders: DataFrame, rows: int = TOP_CUSTOMERS) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from orderloom.functions.columns import day_of
 from orderloom.operators.aggregates import key_total
 from orderloom.operators.dedupe import keep_one
-from orderloom.operators.joins import spread_join
+from orderloom.operators.joins import ROWS_PER_BUCKET, default_buckets, hot_keys, spread_join
 
 SILVER_COLUMNS = (
     "order_id",
@@ -63,6 +63,29 @@ def translate_categories(products: DataFrame, translation: DataFrame) -> DataFra
     return joined.select("product_id", "product_category_name", "product_category_name_english")
 
 
+def known_orders(*, orders: DataFrame, customers: DataFrame, payments: DataFrame) -> DataFrame:
+    """Paid orders of known customers, with person and amount.
+
+    Clean orders and amounts leave their aggregates partitioned by ``order_id``, so
+    they meet without another shuffle.
+    """
+    return spread_join(
+        clean_orders(orders).join(order_amounts(payments), "order_id"),
+        customers.select("customer_id", "customer_unique_id"),
+        "customer_id",
+        left_keys=orders,
+        right_keys=customers,
+        deal_by=["order_id"],
+    )
+
+
+def ordered(known: DataFrame, order_items: DataFrame) -> DataFrame:
+    """The known orders that have a line. Lines are reduced to their distinct keys
+    in the map task, so neither products nor the long list itself are joined."""
+    keys = order_items.select("order_id").where("order_id IS NOT NULL").distinct()
+    return known.join(keys, "order_id", "left_semi")
+
+
 def order_lines(
     *,
     orders: DataFrame,
@@ -74,26 +97,18 @@ def order_lines(
 ) -> DataFrame:
     """One row per order line with order, customer, category and amount paid.
 
-    Everything known per order is joined at order grain first. Clean orders and
-    amounts leave their aggregates partitioned by ``order_id``, so they meet
-    without another shuffle; the far longer list of lines is then shuffled once.
+    Everything known per order is joined at order grain first; the far longer list
+    of lines is then shuffled once.
     Lines of unknown, unpaid or customerless orders drop out; unknown products
     stay, without category.
     """
-    paid_orders = clean_orders(orders).join(order_amounts(payments), "order_id")
-    known_orders = spread_join(
-        paid_orders,
-        customers.select("customer_id", "customer_unique_id"),
-        "customer_id",
-        left_keys=orders,
-        right_keys=customers,
-        deal_by=["order_id"],
-    )
+    min_rows = default_buckets(order_items.sparkSession) * ROWS_PER_BUCKET
+    hot = hot_keys(order_items, "order_id", "product_id", min_rows=min_rows)
     lines = spread_join(
         order_items.select("order_id", "product_id", "price", "freight_value"),
-        known_orders,
+        known_orders(orders=orders, customers=customers, payments=payments),
         "order_id",
-        left_keys=order_items,
+        left_hot=hot,
         deal_by=["product_id"],
     )
     described = spread_join(
@@ -101,7 +116,7 @@ def order_lines(
         translate_categories(products, translation),
         "product_id",
         "left",
-        left_keys=order_items,
+        left_hot=hot,
         right_keys=products,
         deal_by=["order_id"],
     )

@@ -50,7 +50,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{uuid.uuid4().hex}/{label}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on whatever file system it is on."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
-    """Delete all scratch data of this application, once no result that reads it is needed."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    """Drop the databases and delete the files that this application keeps as
+    scratch, once no result that reads them is needed."""
+    mark = scratch_root(spark).rpartition("/")[2]
+    for database in spark.catalog.listDatabases():
+        if f"/{mark}/" in f"{database.locationUri}/":
+            spark.sql(f"DROP DATABASE IF EXISTS {database.name} CASCADE")
+    delete_path(spark, scratch_root(spark))

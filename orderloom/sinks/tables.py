@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom.session import delete_path
+
 _TIE = "_tie"
 
 
@@ -48,9 +52,9 @@ def refresh_table(
 ) -> int:
     """Replace a table with its schema and return the number of rows written.
 
-    On Parquet the count is observed in the writing stage itself, so no second
-    scan is made and a rerun of a lost map task is not counted twice. Other
-    formats commit in their own way and answer a count from their metadata.
+    On Parquet the new version is complete before the table is switched to it, and
+    the count is observed in the writing stage itself, so no second scan is made and
+    a rerun of a lost map task is not counted twice. Other formats commit in their own way and answer a count from their metadata.
     """
     if cluster_by:
         df = clustered(df, *cluster_by)
@@ -63,11 +67,29 @@ def refresh_table(
             writer = writer.option("overwriteSchema", "true")
         writer.saveAsTable(name)
         return df.sparkSession.table(name).count()
+    return _switch(df, database, table)
+
+
+def _switch(df: DataFrame, database: str, table: str) -> int:
+    """Write a new version beside the old one, then point the table at it. Until
+    the new files are complete, readers and a failed write see the old table."""
+    spark, name = df.sparkSession, f"{database}.{table}"
+    root = spark.catalog.getDatabase(database).locationUri.rstrip("/")
+    version = f"{root}/{table}-{uuid.uuid4().hex}"
     written = Observation()
-    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
-    counted.write.format("parquet").mode("overwrite").saveAsTable(name)
+    df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(version)
+    old = _location(spark, name) if spark.catalog.tableExists(name) else None
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=version, source="parquet", schema=df.schema)
+    if old and old.startswith(f"{root}/{table}"):
+        delete_path(spark, old)
     return written.get["rows"]
 
 
+def _location(spark: SparkSession, name: str) -> str | None:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
 def append_table(df: DataFrame, database: str, table: str, table_format: str = "parquet") -> None:
     df.write.format(table_format).mode("append").saveAsTable(f"{database}.{table}")

@@ -8,18 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 # A shuffle partition is meant to hold about this much, by Spark's estimate, which
 # counts columnar files several times. AQE merges what turns out smaller, so too
-# many partitions cost little; beyond the upper bound their number itself would.
+# many partitions cost little. Beyond the upper bound the driver's map of blocks,
+# maps times reduces, would outgrow it; partitions then grow and spill.
 PARTITION_BYTES = 512 << 20
-MOST_PARTITIONS = 50_000
+MOST_PARTITIONS = 200_000
+
+_SHUFFLES = "spark.sql.shuffle.partitions"
+_BASE = "orderloom.shuffle.partitions.base"
 
 # Spark gives this much, or a product of it, where it knows nothing.
 _UNKNOWN = 1 << 60
 
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
 
 
 def parse_bytes(setting: str) -> int:
-    number, unit = re.fullmatch(r"(-?\d+)\s*([bkmgt]?)b?", setting.strip().lower()).groups()
+    number, unit = re.fullmatch(r"(-?\d+)\s*([bkmgtp]?)b?", setting.strip().lower()).groups()
     return int(number) * _UNITS[unit]
 
 
@@ -43,7 +47,18 @@ def size_shuffles(spark: SparkSession, *inputs: DataFrame) -> int:
     """Raise the number of shuffle partitions to fit the inputs, never lower it."""
     largest = max((estimated_bytes(df) or 0 for df in inputs), default=0)
     wanted = min(MOST_PARTITIONS, -(-largest // PARTITION_BYTES))
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    current = int(spark.conf.get(_SHUFFLES))
     if wanted > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+        if spark.conf.get(_BASE, None) is None:
+            spark.conf.set(_BASE, str(current))
+        spark.conf.set(_SHUFFLES, str(wanted))
     return max(wanted, current)
+
+
+def restore_shuffles(spark: SparkSession) -> None:
+    """Put back what ``size_shuffles`` has raised, so that the next work on the
+    session is sized by its own inputs."""
+    base = spark.conf.get(_BASE, None)
+    if base is not None:
+        spark.conf.set(_SHUFFLES, base)
+        spark.conf.unset(_BASE)

@@ -11,11 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# What a micro-batch takes unless the topic says otherwise.
+BATCH_RECORDS = 1_000_000
+BATCH_FILES = 1000
+
+
 @dataclass(frozen=True)
 class Topic:
     """``transport`` is ``kafka`` (``name`` is the topic) or ``folder`` (``name``
-    is a path). ``batch_limit`` bounds one micro-batch: records for Kafka, files
-    for a folder. ``min_partitions`` lets several tasks share one hot Kafka
+    is a path). ``batch_limit`` bounds one micro-batch: records for Kafka (a million
+    by default), files for a folder (a thousand). ``min_partitions`` lets several tasks share one hot Kafka
     partition."""
 
     name: str
@@ -39,10 +44,10 @@ class Topic:
             chosen["startingOffsets"] = "earliest"
             if self.min_partitions:
                 chosen["minPartitions"] = str(self.min_partitions)
-            if streaming and self.batch_limit:
-                chosen["maxOffsetsPerTrigger"] = str(self.batch_limit)
-        elif streaming and self.batch_limit:
-            chosen["maxFilesPerTrigger"] = str(self.batch_limit)
+            if streaming:
+                chosen["maxOffsetsPerTrigger"] = str(self.batch_limit or BATCH_RECORDS)
+        elif streaming:
+            chosen["maxFilesPerTrigger"] = str(self.batch_limit or BATCH_FILES)
         return {**chosen, **self.options}
 
 

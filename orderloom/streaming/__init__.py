@@ -1,10 +1,12 @@
 from orderloom.streaming.orders import (
     StreamCounts,
+    compact_landing,
     drain,
     land_and_print,
     land_orders,
     read_batches,
+    read_printed,
     route_events,
 )
 
-__all__ = ["StreamCounts", "drain", "land_and_print", "land_orders", "read_batches", "route_events"]
+__all__ = ["StreamCounts", "compact_landing", "drain", "land_and_print", "land_orders", "read_batches", "read_printed", "route_events"]

@@ -2,8 +2,9 @@
 
 The work per record has no state: parse, compare, route. ``land_orders`` writes
 both routes through one file sink, whose commit log makes the output exactly
-once. ``land_and_print`` also shows matches on the console and writes each batch
-into a folder of its own, so that a repeated batch replaces itself.
+once. ``land_and_print`` also prints every match, as lines of text that the
+executors write, and gives each batch a folder of its own, so that a repeated batch
+replaces itself.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql.streaming import StreamingQuery
 from orderloom.config import HIGH_VALUE_THRESHOLD
 from orderloom.functions.events import EVENT_SCHEMA, one_line, parse_event
 
-HIGH_VALUE, DEAD_LETTER = "high_value", "dead_letter"
+HIGH_VALUE, DEAD_LETTER, PRINTED = "high_value", "dead_letter", "printed"
+PREFIX = "above threshold: "
 _COUNTS = "order_events"
 
 
@@ -46,8 +48,8 @@ def route_events(values: DataFrame, threshold: float = HIGH_VALUE_THRESHOLD) ->
     )
 
 
-def _start(writer, continuous: bool) -> StreamingQuery:
-    trigger = {"processingTime": "1 second"} if continuous else {"availableNow": True}
+def _start(writer, continuous: bool, every: str) -> StreamingQuery:
+    trigger = {"processingTime": every} if continuous else {"availableNow": True}
     return writer.trigger(**trigger).start()
 
 
@@ -58,9 +60,12 @@ def land_orders(
     threshold: float = HIGH_VALUE_THRESHOLD,
     *,
     continuous: bool = False,
+    every: str = "1 second",
 ) -> StreamingQuery:
     """Land both routes as JSON Lines, one folder per route. A dead letter is
-    wrapped with its reason. ``drain`` reports how many took either route."""
+    wrapped with its reason. ``drain`` reports how many took either route. A
+    continuous query starts a batch, and so at least a file per route, ``every`` so
+    often; ``compact_landing`` puts them together."""
     counted = route_events(values, threshold).observe(
         _COUNTS,
         F.count_if(F.col("route") == HIGH_VALUE).alias("matched"),
@@ -79,7 +84,7 @@ def land_orders(
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
-    return _start(writer, continuous)
+    return _start(writer, continuous, every)
 
 
 @dataclass
@@ -95,15 +100,17 @@ def land_and_print(
     threshold: float = HIGH_VALUE_THRESHOLD,
     *,
     counts: StreamCounts | None = None,
-    show: Callable[[str], None] = print,
-    show_rows: int = 20,
+    preview: Callable[[str], None] | None = None,
+    preview_rows: int = 20,
     continuous: bool = False,
+    every: str = "1 second",
 ) -> StreamingQuery:
-    """Land both routes per batch and show the first matches of each batch.
+    """Land both routes per batch, and print every match to a second output.
 
     The batch is kept while its outputs are written, so the source is read once.
-    ``show_rows`` bounds what a batch brings to the driver. ``counts`` grows by
-    what each batch has written.
+    ``counts`` grows by what each batch has written. ``preview`` is no sink: it is
+    called with the first ``preview_rows`` printed lines of a batch, which come to
+    the driver.
     """
     counts = counts or StreamCounts()
 
@@ -119,8 +126,11 @@ def land_and_print(
             dead.observe(rejected, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").json(
                 f"{path}/{DEAD_LETTER}/batch={batch_id}"
             )
-            for row in matches.take(show_rows):
-                show(f"above threshold: {row['value']}")
+            printed = matches.select(F.concat(F.lit(PREFIX), "value").alias("value"))
+            printed.write.mode("overwrite").text(f"{path}/{PRINTED}/batch={batch_id}")
+            if preview:
+                for row in printed.take(preview_rows):
+                    preview(row["value"])
         finally:
             batch.unpersist()
         counts.matched += matched.get["rows"]
@@ -132,7 +142,7 @@ def land_and_print(
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )
-    return _start(writer, continuous)
+    return _start(writer, continuous, every)
 
 
 def read_batches(spark: SparkSession, path: str, route: str = HIGH_VALUE) -> DataFrame:
@@ -141,6 +151,18 @@ def read_batches(spark: SparkSession, path: str, route: str = HIGH_VALUE) -> Dat
     return spark.read.schema(f"{schema}, batch long").json(f"{path}/{route}").drop("batch")
 
 
+def read_printed(spark: SparkSession, path: str) -> DataFrame:
+    """The events, as JSON text, that ``land_and_print`` has printed."""
+    lines = spark.read.text(f"{path}/{PRINTED}").select("value")
+    return lines.select(F.substring("value", len(PREFIX) + 1, 1 << 30).alias("value"))
+
+
+def compact_landing(spark: SparkSession, path: str, target: str) -> None:
+    """Copy what ``land_orders`` has committed to ``path`` into few, even files."""
+    landed = spark.read.schema("value string, route string").text(path)
+    landed.hint("rebalance", "route").write.partitionBy("route").text(target)
+
+
 def _is_busy(query: StreamingQuery) -> bool:
     """Starting up, or at work on a batch that has not reported yet."""
     status = query.status

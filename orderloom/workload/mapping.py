@@ -10,9 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom.sizing import size_shuffles
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; shuffles are sized for it, whatever query reads it."""
+    given = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    size_shuffles(spark, given)
+    return given
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -177,6 +177,9 @@ _BODIES = {
     ),
     "orders_clean": "SELECT order_id, customer_id, order_status, order_date FROM clean",
     "order_amount": "SELECT order_id, CAST(order_amount AS DOUBLE) AS order_amount FROM amounts",
+    "order_amount_fine": (
+        "SELECT order_id, CAST(order_amount * CAST(0.001 AS DECIMAL(4,3)) AS DOUBLE) AS order_amount FROM amounts"
+    ),
     "products_translated": (
         "SELECT product_id, product_category_name, product_category_name_english FROM translated"
     ),
@@ -245,8 +248,8 @@ _BODIES = {
         " FROM src_events WHERE order_amount > 50 GROUP BY customer_id"
     ),
     "stream_two_sinks": (
-        "SELECT count(*) AS landed, CAST(sum(CAST(order_amount AS DECIMAL(18,2))) AS DOUBLE) AS landed_amount,"
-        " count(*) AS matched, CAST(0 AS BIGINT) AS rejected FROM src_events WHERE order_amount > 50"
+        f"SELECT l.*, s.sink, count(*) OVER () // 2 AS matched, CAST(0 AS BIGINT) AS rejected FROM ({_LANDED}) l"
+        " CROSS JOIN (VALUES ('landing'), ('console')) s(sink)"
     ),
     "stream_restart": _LANDED,
     "stream_bad_records": (

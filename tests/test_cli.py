@@ -33,6 +33,17 @@ def test_file_names_from_options():
     assert datasets["product_category_translation"].file_name == "t.csv"
 
 
+def test_settings_from_options(tmp_path):
+    schemas = tmp_path / "schemas.json"
+    schemas.write_text('{"orders": "order_id string, customer_id string"}')
+    given = ["--schemas", str(schemas), "--min-amount", "5", "--top", "3", "--run-name", "r", "--database", "gold=best"]
+    cfg = run_config(parse(["all", *given]))
+    assert {d.table: d.schema for d in cfg.datasets}["orders"] == "order_id string, customer_id string"
+    assert (cfg.min_order_amount, cfg.top_customers, cfg.run_name, cfg.layers.gold) == (5, 3, "r", "best")
+    stream = parse(["stream", "--topic", "t", "--landing", "l", "--checkpoint", "c", "--option", "kafka.group.id=g"])
+    assert dict(stream.option) == {"kafka.group.id": "g"}
+
+
 @pytest.mark.parametrize("extra", [[], ["--print-matches"], ["--idle-seconds", "3"]])
 def test_stream(spark, capsys, extra):
     topic, landing = scratch_path(spark, "topic"), scratch_path(spark, "landing")

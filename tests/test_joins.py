@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from compare import spark_table
-from orderloom.operators.joins import hot_keys, spread_join
+from orderloom.operators.joins import SKETCH_GROUPS, hot_keys, spread_join
 
 
 def plan_of(df):
@@ -53,7 +53,7 @@ def test_both_sides_may_repeat_a_key(shuffled_joins, how, buckets):
     left, right = left_frame(shuffled_joins), copied_right_frame(shuffled_joins)
     spread = spread_join(left, right, "key", how, right_keys=right, buckets=buckets)
     plain = left.join(right, "key", how)
-    assert hot_keys(right, "key", 20 * 8).collect()[0]["hot"]
+    assert hot_keys(right, "key", min_rows=20 * 8).collect()[0]["hot"]["key"]
     assert spread.columns == plain.columns
     assert spark_table(spread) == spark_table(plain)
 
@@ -73,7 +73,7 @@ def test_copies_of_a_right_key_reach_several_partitions(shuffled_joins):
 
 def test_few_keys_on_a_small_side_cause_no_copies(spark):
     few = spark.createDataFrame([(f"k{i}",) for i in range(5)], "key string")
-    assert hot_keys(few, "key", 100).collect()[0]["hot"] == []
+    assert hot_keys(few, "key", min_rows=100).collect()[0]["hot"]["key"] == []
 
 
 def test_hot_rows_reach_several_partitions(shuffled_joins):
@@ -92,13 +92,13 @@ def test_hot_rows_reach_several_partitions(shuffled_joins):
 def test_cold_keys_are_not_copied(shuffled_joins):
     left = shuffled_joins.range(10_000).selectExpr("id AS key", "id AS amount")
     right = shuffled_joins.range(10_000).selectExpr("id AS key", "id AS other")
-    assert hot_keys(left, "key").collect()[0]["hot"] == []
+    assert hot_keys(left, "key").collect()[0]["hot"]["key"] == []
     assert spread_join(left, right, "key").count() == 10_000
 
 
 def test_hot_keys_finds_the_large_keys_only(spark):
-    assert hot_keys(left_frame(spark), "key").collect()[0]["hot"] == ["k7"]
-    assert hot_keys(left_frame(spark).where("false"), "key").collect()[0]["hot"] == []
+    assert hot_keys(left_frame(spark), "key").collect()[0]["hot"]["key"] == ["k7"]
+    assert not hot_keys(left_frame(spark).where("false"), "key").collect()[0]["hot"]
 
 
 def test_left_keys_only_routes(shuffled_joins):
@@ -146,3 +146,21 @@ def test_any_copies_on_either_side(shuffled_joins, left, right, how):
         expected.update((key, value, match) for match in matches)
     counts = {(r.key, r.l, r.r): r["count"] for r in joined.groupBy("key", "l", "r").count().collect()}
     assert counts == dict(expected)
+
+
+def test_the_limit_follows_the_partition_count(shuffled_joins):
+    rows = shuffled_joins.range(20_000).selectExpr("IF(id % 200 = 0, -1, id) AS key")
+    assert hot_keys(rows, "key", share=64).collect()[0]["hot"]["key"] == []
+    assert hot_keys(rows, "key", share=1000).collect()[0]["hot"]["key"] == [-1]
+    before = shuffled_joins.conf.get("spark.sql.shuffle.partitions")
+    shuffled_joins.conf.set("spark.sql.shuffle.partitions", "1000")
+    assert hot_keys(rows, "key").collect()[0]["hot"]["key"] == [-1]
+    shuffled_joins.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_the_last_task_merges_a_fixed_number_of_sketches(spark):
+    keys = spark.range(0, 30_000, 1, 300).selectExpr("id % 7 AS key")
+    plan = plan_of(hot_keys(keys, "key"))
+    merged, _, grouped = plan.partition("approx_top_k_accumulate")
+    assert "approx_top_k_combine" in merged and "hashpartitioning(part" in plan
+    assert grouped and SKETCH_GROUPS == 64

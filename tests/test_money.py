@@ -52,6 +52,25 @@ def test_many_large_values_do_not_overflow(spark):
     assert df.agg(exact_total(F.col("x")).alias("t")).collect()[0].t == 8e14 * 20_000
 
 
+def test_more_rows_than_a_long_of_units_holds(spark):
+    df = spark.range(2_000_000).selectExpr("8.9e14D AS x")
+    assert df.agg(exact_total(F.col("x")).alias("t")).collect()[0].t == 8.9e14 * 2_000_000
+
+
+def test_amounts_below_a_unit_are_not_lost(spark):
+    df = spark.range(100_000).selectExpr("0.00001D AS x")
+    assert df.agg(exact_total(F.col("x")).alias("t")).collect()[0].t == 1.0
+    assert total_of(spark, [1e-13] * 8) == pytest.approx(8e-13)
+    assert total_of(spark, [0.00004]) == 0.00004
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(micros=st.lists(st.integers(-(10**12), 10**12), min_size=1, max_size=60))
+def test_six_decimals_are_exact(spark, micros):
+    exact = sum((Decimal(m) / 10**6 for m in micros), Decimal(0))
+    assert total_of(spark, [m / 10**6 for m in micros]) == float(exact)
+
+
 @pytest.mark.parametrize("kind,values,expected", [
     ("decimal(12,2)", [Decimal("0.10"), Decimal("0.20")], Decimal("0.30")),
     ("int", [1, 2], 3),

@@ -119,3 +119,10 @@ def test_runs_are_appended(spark):
     assert runs[0].batch_id != runs[1].batch_id and runs[0].run_name == "nightly"
     assert read_table(spark, layers.quality, "results").count() == 10
     assert verdict.to_json() == '{"success": false}'
+
+
+def test_nan_is_missing(spark):
+    rows = spark.createDataFrame([(float("nan"), "NaN"), (1.0, "x"), (-1.0, None)], "amount double, name string")
+    suite = Suite("s", (NotNull("amount"), NotNull("name"), Between("amount", 0, 10)))
+    found = {(r["rule"], r["column"]): r["unexpected_count"] for r in evaluate(rows, suite, "a").collect()}
+    assert found == {("not_null", "amount"): 1, ("not_null", "name"): 1, ("between", "amount"): 1}

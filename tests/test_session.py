@@ -1,8 +1,7 @@
 import os
 
-import pytest
-
-from orderloom.session import SESSION_SETTINGS, apply_settings, scratch_path
+from orderloom.session import SESSION_SETTINGS, apply_settings, clear_scratch, scratch_path, scratch_root
+from orderloom.workload.queries import QUERIES
 
 
 class Session:
@@ -16,22 +15,27 @@ class Session:
         return self.settings.get(key, default)
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster():
-    with pytest.raises(ValueError):
-        scratch_path(Session(spark_master="yarn"), "x")
+class Named(Session):
+    sparkContext = type("Context", (), {"applicationId": "app-1"})
 
 
-def test_scratch_uses_the_named_folder():
-    named = Session(spark_master="yarn", spark_checkpoint_dir="hdfs://shared/scratch/")
+def test_scratch_is_below_the_named_folder():
+    named = Named(spark_checkpoint_dir="hdfs://shared/scratch/")
     first, second = scratch_path(named, "x"), scratch_path(named, "x")
-    assert first.startswith("hdfs://shared/scratch/orderloom-") and first.endswith("/x")
+    assert first.startswith("hdfs://shared/scratch/orderloom-app-1/") and first.endswith("/x")
     assert first != second
 
 
-def test_scratch_on_a_local_master():
-    local = Session(spark_master="local[4]")
-    first, second = scratch_path(local, "a"), scratch_path(local, "b")
-    assert os.path.dirname(os.path.dirname(first)) == os.path.dirname(os.path.dirname(second))
+def test_scratch_without_a_named_folder_is_below_the_warehouse():
+    assert scratch_root(Named(spark_sql_warehouse_dir="s3://w")) == "s3://w/orderloom-app-1"
+
+
+def test_scratch_can_be_cleared(spark, sf_dir):
+    assert QUERIES["table_roundtrip"](spark, sf_dir).count() > 0
+    assert os.path.exists(scratch_root(spark).removeprefix("file:"))
+    clear_scratch(spark)
+    assert not os.path.exists(scratch_root(spark).removeprefix("file:"))
+    assert not [d.name for d in spark.catalog.listDatabases() if d.name.count("_") and len(d.name) > 32]
 
 
 def test_settings_reach_a_foreign_session(spark):

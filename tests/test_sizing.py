@@ -4,9 +4,12 @@ from orderloom.sizing import (
     MOST_PARTITIONS,
     estimated_bytes,
     parse_bytes,
+    restore_shuffles,
     size_shuffles,
     small_enough_to_broadcast,
 )
+from orderloom.workload import mapping
+from orderloom.workload.queries import QUERIES
 
 
 @pytest.fixture
@@ -34,7 +37,7 @@ def test_unknown_size_is_large(spark):
 
 
 @pytest.mark.parametrize(
-    "text,size", [("10485760b", 10 << 20), ("10MB", 10 << 20), ("-1", -1), ("64k", 64 << 10), ("1g", 1 << 30)]
+    "text,size", [("10485760b", 10 << 20), ("10MB", 10 << 20), ("-1", -1), ("64k", 64 << 10), ("1g", 1 << 30), ("1pb", 1 << 50)]
 )
 def test_byte_settings(text, size):
     assert parse_bytes(text) == size
@@ -48,3 +51,22 @@ def test_shuffles_grow_with_the_largest_input(four_partitions):
     assert spark.conf.get("spark.sql.shuffle.partitions") == "16"
     assert size_shuffles(spark, spark.range(10)) == 16
     assert size_shuffles(spark, spark.range(1 << 50)) == MOST_PARTITIONS
+    restore_shuffles(spark)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert size_shuffles(spark, spark.range(10)) == 4
+
+
+def test_every_table_that_a_query_loads_counts(four_partitions, sf_dir, monkeypatch):
+    monkeypatch.setattr("orderloom.sizing.PARTITION_BYTES", 1000)
+    for load in (mapping.orders, mapping.customers, mapping.order_items, mapping.products, mapping.order_events):
+        load(four_partitions, sf_dir)
+        assert int(four_partitions.conf.get("spark.sql.shuffle.partitions")) > 4
+        restore_shuffles(four_partitions)
+
+
+def test_a_small_query_after_a_large_one_has_the_old_setting(four_partitions, sf_dir):
+    spark = four_partitions
+    size_shuffles(spark, spark.range(1 << 40))
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) > 4
+    QUERIES["order_amount"](spark, sf_dir)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"

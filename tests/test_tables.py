@@ -169,3 +169,11 @@ def test_stages_build_gold_then_quarantine_leaves_it(spark, tmp_path, layers):
     assert {r.rule for r in failing.collect()} == {"between:order_amount"}
     assert read_table(spark, layers.quality, "runs").count() == 2
     assert {r.branch for r in done.summary(spark).collect()} == {"quarantine"}
+
+
+def test_a_failed_refresh_keeps_the_old_table(spark, layers):
+    refresh_table(spark.range(5), layers.gold, "t")
+    broken = spark.range(100).select(F.when(F.col("id") < 90, F.col("id")).otherwise(F.raise_error(F.lit("lost"))).alias("n"))
+    with pytest.raises(Exception, match="lost"):
+        refresh_table(broken, layers.gold, "t")
+    assert sorted(r.id for r in read_table(spark, layers.gold, "t").collect()) == [0, 1, 2, 3, 4]
