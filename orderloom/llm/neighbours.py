@@ -4,7 +4,8 @@ Every vector keeps a list of its nearest known ones. A neighbour of a neighbour
 likely a neighbour, so in each round, a Spark join, the vectors around each vector
 meet and improve each other's lists, until little changes. A query then walks the
 graph greedily: it looks up the lists of the nearest vectors it has found, until
-none of them is new. The last step measures on the original vectors.
+none of them is new. All distances are those of the original vectors, so vectors
+that hardly differ are told apart as well as others.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 import gc
 import math
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +30,9 @@ class Descent:
     """``neighbours`` are kept per vector, and as many that point to it meet it too.
 
     Lists start from the nearest in ``trees`` random partitions into leaves. Rounds
-    end when less than ``settled`` of the entries are new. A search keeps the
-    ``beam`` nearest and looks up ``expand`` of them at a time; ``exact`` of them
-    are measured on the original vectors.
+    end when less than ``settled`` of the entries are new. A round goes over the
+    vectors in ``slices``, as each takes all its neighbours along. A search keeps the
+    ``beam`` nearest and looks up ``expand`` of them at a time.
     """
 
     neighbours: int = 40
@@ -40,9 +41,9 @@ class Descent:
     from_leaf: int = 12
     rounds: int = 6
     settled: float = 0.15
+    slices: int = 2
     beam: int = 160
     expand: int = 48
-    exact: int = 40
     seed: int = 11
 
 
@@ -73,49 +74,65 @@ def classes_of(valid: DataFrame, members: int) -> DataFrame:
     return listed.select(F.element_at("members", 1).alias("node"), "members", "vec")
 
 
-def _codes(mean: np.ndarray, planes: np.ndarray):
-    """Vectors as one byte per component around the mean, and their leaf in each tree."""
+@dataclass(frozen=True)
+class Form:
+    """How a vector is written as bytes: single precision only where that is exact."""
+
+    dimensions: int
+    kind: str
+
+    def read(self, points: pa.Array) -> np.ndarray:
+        flat = np.frombuffer(b"".join(points.to_pylist()), self.kind)
+        return flat.reshape(-1, self.dimensions).astype(np.float64)
+
+
+def _points(mean: np.ndarray, planes: np.ndarray, form: Form):
+    """Vectors as bytes, and their leaf in each tree."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch.column("vec").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(mean)) - mean
-            x = np.nan_to_num(x)
-            scale = np.abs(x).max(1) / 127
-            code = np.rint(x / np.where(scale > 0, scale, 1)[:, None]).astype(np.int8)
-            leaves = [((x @ p > 0) @ (1 << np.arange(p.shape[1]))).astype(np.int64) for p in planes]
+            x = batch.column("vec").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(mean))
+            around = np.nan_to_num(x - mean)
+            leaves = [((around @ p > 0) @ (1 << np.arange(p.shape[1]))).astype(np.int64) for p in planes]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("node"),
-                    pa.array([c.tobytes() for c in code], pa.binary()),
-                    pa.array(scale.astype(np.float32)),
+                    pa.array([p.tobytes() for p in x.astype(form.kind)], pa.binary()),
                     pa.array(list(np.stack(leaves, 1)) if leaves else [[]] * len(x), pa.list_(pa.int64())),
                 ],
-                ["node", "code", "scale", "leaves"],
+                ["node", "point", "leaves"],
             )
 
     return run
 
 
-def coded(classes: DataFrame, dimensions: int, vectors: int, how: Descent) -> DataFrame:
+def placed_points(classes: DataFrame, form: Form, vectors: int, how: Descent) -> DataFrame:
     means = classes.select(F.posexplode("vec").alias("at", "x")).groupBy("at").agg(F.avg("x").alias("mean"))
-    mean = np.zeros(dimensions)
+    mean = np.zeros(form.dimensions)
     for row in means.collect():  # one row per dimension
         mean[row["at"]] = row["mean"]
     bits = max(0, math.ceil(math.log2(max(1, vectors / how.leaf))))
-    planes = np.random.default_rng(how.seed).standard_normal((how.trees - 1, dimensions, bits))
-    fields = "node long, code binary, scale float, leaves array<long>"
-    return classes.select("node", "vec").mapInArrow(_codes(mean, planes), fields)
+    planes = np.random.default_rng(how.seed).standard_normal((how.trees - 1, form.dimensions, bits))
+    fields = "node long, point binary, leaves array<long>"
+    return classes.select("node", "vec").mapInArrow(_points(mean, planes, form), fields)
 
 
-def _points(rows: pa.StructArray, dimensions: int) -> np.ndarray:
-    code = np.frombuffer(b"".join(rows.field("code").to_pylist()), np.int8).reshape(-1, dimensions)
-    return code.astype(np.float32) * rows.field("scale").to_numpy()[:, None]
+# Below this share of the lengths, a difference of products has lost too many digits.
+CANCELLED = 1e-8
 
 
 def _squares(x: np.ndarray) -> np.ndarray:
     """Squared distances of all rows to each other."""
+    x = x - x.mean(0)
     own = np.einsum("ij,ij->i", x, x)
-    return np.maximum(own[:, None] + own[None] - 2 * (x @ x.T), 0)
+    lengths = own[:, None] + own[None]
+    far = np.maximum(lengths - 2 * (x @ x.T), 0)
+    near = far < CANCELLED * lengths
+    np.fill_diagonal(near, False)
+    for i in np.flatnonzero(near.any(1)).tolist():
+        apart = x[near[i]] - x[i]
+        far[i, near[i]] = np.einsum("ij,ij->i", apart, apart)
+    return far
 
 
 def _groups(batch: pa.RecordBatch) -> tuple[pa.StructArray, Iterator[tuple[int, int]]]:
@@ -126,20 +143,20 @@ def _groups(batch: pa.RecordBatch) -> tuple[pa.StructArray, Iterator[tuple[int,
 
 def _edges(u: list[np.ndarray], w: list[np.ndarray], d: list[np.ndarray]) -> pa.RecordBatch:
     parts = [np.concatenate([np.empty(0), *p]) for p in (u, w, d)]
-    types = (np.int64, np.int64, np.float32)
+    types = (np.int64, np.int64, np.float64)
     return pa.RecordBatch.from_arrays([pa.array(p.astype(t)) for p, t in zip(parts, types, strict=True)], ["u", "w", "d"])
 
 
-EDGE = "u long, w long, d float"
+EDGE = "u long, w long, d double"
 
 
-def _within_leaves(dimensions: int, nearest: int):
+def _within_leaves(form: Form, nearest: int):
     """The nearest others of each member of a leaf."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, bounds = _groups(batch)
-            nodes, points = rows.field("node").to_numpy(), _points(rows, dimensions)
+            nodes, points = rows.field("node").to_numpy(), form.read(rows.field("point"))
             u, w, d = [], [], []
             for a, b in bounds:
                 far = _squares(points[a:b])
@@ -155,13 +172,13 @@ def _within_leaves(dimensions: int, nearest: int):
     return run
 
 
-def _local_join(dimensions: int, nearest: int):
+def _local_join(form: Form, nearest: int):
     """Pairs around one vector, at least one of them newly there, that improve a list."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, bounds = _groups(batch)
-            nodes, points = rows.field("node").to_numpy(), _points(rows, dimensions)
+            nodes, points = rows.field("node").to_numpy(), form.read(rows.field("point"))
             new = rows.field("new").to_numpy(zero_copy_only=False)
             worst = rows.field("worst").to_numpy()
             u, w, d = [], [], []
@@ -205,43 +222,48 @@ def _tidy(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def build_graph(codes: DataFrame, dimensions: int, vectors: int, how: Descent, scratch: Scratch) -> DataFrame:
-    """u, w, d (squared, approximate), new: the list of every vector."""
-    spark = codes.sparkSession
+def build_graph(points: DataFrame, form: Form, vectors: int, how: Descent, scratch: Scratch) -> DataFrame:
+    """u, w, d (squared), new: the list of every vector."""
+    spark = points.sparkSession
     random_leaf = F.pmod(F.xxhash64("node"), F.lit(-(-vectors // how.leaf) or 1))
-    leaves = codes.select("node", F.posexplode(F.concat(F.array(random_leaf), "leaves")).alias("tree", "leaf"))
+    leaves = points.select("node", F.posexplode(F.concat(F.array(random_leaf), "leaves")).alias("tree", "leaf"))
     leaves = leaves.select("node", (F.col("leaf") * how.trees + F.col("tree")).alias("leaf"))
     sizes = leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("size"))
     # A leaf that came out too large is dealt over several.
     part = F.pmod(F.xxhash64("node", "leaf"), F.expr(f"size div {4 * how.leaf} + 1"))
     placed = join_counted(leaves, sizes, "leaf", "size").select("node", "leaf", part.alias("part"))
-    gathered = placed.join(codes.select("node", "code", "scale"), "node").groupBy("leaf", "part").agg(
-        F.collect_list(F.struct("node", "code", "scale")).alias("members")
+    gathered = placed.join(points.select("node", "point"), "node").groupBy("leaf", "part").agg(
+        F.collect_list(F.struct("node", "point")).alias("members")
     )
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch="8"):
-        first = gathered.select("members").mapInArrow(_within_leaves(dimensions, how.from_leaf), EDGE)
+        first = gathered.select("members").mapInArrow(_within_leaves(form, how.from_leaf), EDGE)
         graph = scratch.write(_nearest(first.withColumn("new", F.lit(True)), how.neighbours), "graph")
+    _tidy(spark)
 
     for _ in range(how.rounds):
-        worst = graph.groupBy("u").agg(F.max("d").alias("d"), F.count(F.lit(1)).alias("n"))
-        worst = worst.select(
-            F.col("u").alias("node"),
-            F.when(F.col("n") < how.neighbours, float("inf")).otherwise(F.col("d")).cast("float").alias("worst"),
-        )
-        known = codes.select("node", "code", "scale").join(worst, "node", "left")
-        known = known.withColumn("worst", F.coalesce("worst", F.lit(float("inf")).cast("float")))
         around = graph.select("u", "w", "new").unionByName(_some_backwards(graph, how.neighbours // 2))
-        around = around.unionByName(codes.select(F.col("node").alias("u"), F.col("node").alias("w"), F.lit(False).alias("new")))
-        around = around.groupBy("u", "w").agg(F.max("new").alias("new"))
-        met = around.withColumnRenamed("w", "node").join(known, "node").groupBy("u").agg(
-            F.collect_list(F.struct("node", "new", "code", "scale", "worst")).alias("members")
-        )
-        with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=GROUPS_PER_BATCH):
-            better = met.select("members").mapInArrow(_local_join(dimensions, how.neighbours), EDGE)
-            merged = graph.withColumn("new", F.lit(False)).unionByName(better.withColumn("new", F.lit(True)))
-            previous, graph = graph, scratch.write(_nearest(merged, how.neighbours), "graph")
-        scratch.drop(previous)
-        _tidy(spark)
+        around = around.unionByName(points.select(F.col("node").alias("u"), F.col("node").alias("w"), F.lit(False).alias("new")))
+        around = scratch.write(around.groupBy("u", "w").agg(F.max("new").alias("new")), "around")
+        for nr in range(how.slices):
+            worst = graph.groupBy("u").agg(F.max("d").alias("d"), F.count(F.lit(1)).alias("n"))
+            worst = worst.select(
+                F.col("u").alias("node"), F.when(F.col("n") < how.neighbours, float("inf")).otherwise(F.col("d")).alias("worst")
+            )
+            known = points.select("node", "point").join(worst, "node", "left")
+            known = known.withColumn("worst", F.coalesce("worst", F.lit(float("inf"))))
+            here = around.where(F.pmod(F.xxhash64("u"), F.lit(how.slices)) == nr)
+            met = here.withColumnRenamed("w", "node").join(known, "node").groupBy("u").agg(
+                F.collect_list(F.struct("node", "new", "point", "worst")).alias("members")
+            )
+            with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=GROUPS_PER_BATCH):
+                better = met.select("members").mapInArrow(_local_join(form, how.neighbours), EDGE)
+                # What was listed when the round began is no longer new; what its slices add is.
+                listed = graph if nr else graph.withColumn("new", F.lit(False))
+                merged = listed.unionByName(better.withColumn("new", F.lit(True)))
+                previous, graph = graph, scratch.write(_nearest(merged, how.neighbours), "graph")
+            scratch.drop(previous)
+            _tidy(spark)
+        scratch.drop(around)
         counts = graph.agg(F.count(F.lit(1)).alias("n"), F.count_if("new").alias("new")).first()
         if counts["new"] <= how.settled * counts["n"]:
             break
@@ -251,30 +273,26 @@ def build_graph(codes: DataFrame, dimensions: int, vectors: int, how: Descent, s
 # ---- search
 
 
-def _distance(dimensions: int) -> Column:
-    """Squared distance of two codes in a row."""
-
-    @F.arrow_udf("float")
-    def distance(code_a: pa.Array, scale_a: pa.Array, code_b: pa.Array, scale_b: pa.Array) -> pa.Array:
-        def points(code: pa.Array, scale: pa.Array) -> np.ndarray:
-            flat = np.frombuffer(b"".join(code.to_pylist()), np.int8).reshape(-1, dimensions)
-            return flat.astype(np.float32) * scale.to_numpy(zero_copy_only=False)[:, None]
+def _distance(form: Form) -> Column:
+    """Squared distance of two points in a row."""
 
-        apart = points(code_a, scale_a) - points(code_b, scale_b)
-        return pa.array(np.einsum("ij,ij->i", apart, apart).astype(np.float32))
+    @F.arrow_udf("double")
+    def distance(a: pa.Array, b: pa.Array) -> pa.Array:
+        apart = form.read(a) - form.read(b)
+        return pa.array(np.einsum("ij,ij->i", apart, apart))
 
-    return distance("code", "scale", "_code", "_scale")
+    return distance("point", "_point")
 
 
-def _measured(reached: DataFrame, codes: DataFrame, starts: DataFrame, dimensions: int) -> DataFrame:
+def _measured(reached: DataFrame, points: DataFrame, starts: DataFrame, form: Form) -> DataFrame:
     """q, w, d for pairs q, w."""
-    theirs = codes.select(F.col("node").alias("w"), "code", "scale")
-    own = starts.select("q", F.col("code").alias("_code"), F.col("scale").alias("_scale"))
-    return reached.join(theirs, "w").join(own, "q").select("q", "w", _distance(dimensions).alias("d"))
+    theirs = points.select(F.col("node").alias("w"), "point")
+    own = starts.select("q", F.col("point").alias("_point"))
+    return reached.join(theirs, "w").join(own, "q").select("q", "w", _distance(form).alias("d"))
 
 
-def search(starts: DataFrame, graph: DataFrame, codes: DataFrame, dimensions: int, how: Descent, scratch: Scratch) -> DataFrame:
-    """q, w, d: the nearest that each start q (with its code and scale) finds."""
+def search(starts: DataFrame, graph: DataFrame, points: DataFrame, form: Form, how: Descent, scratch: Scratch) -> DataFrame:
+    """q, w, d: the nearest that each start q (with its point) finds."""
     spark = starts.sparkSession
     both = graph.select("u", "w").unionByName(_some_backwards(graph, how.neighbours).select("u", "w"))
     lists = scratch.write(both.groupBy("u").agg(F.collect_set("w").alias("next")), "lists")
@@ -285,14 +303,14 @@ def search(starts: DataFrame, graph: DataFrame, codes: DataFrame, dimensions: in
         ahead = front.join(lists.withColumnRenamed("u", "at"), "at")
         reached = ahead.select("q", F.explode("next").alias("w")).where("q <> w").distinct()
         if beam is None:
-            found = _measured(reached, codes, starts, dimensions).withColumn("done", F.lit(False))
+            found = _measured(reached, points, starts, form).withColumn("done", F.lit(False))
         else:
             reached = reached.join(beam.select("q", "w"), ["q", "w"], "left_anti")
             looked_up = front.select("q", F.col("at").alias("w"), F.lit(True).alias("_now"))
             older = beam.join(looked_up, ["q", "w"], "left").select(
                 "q", "w", "d", (F.col("done") | F.coalesce("_now", F.lit(False))).alias("done")
             )
-            found = older.unionByName(_measured(reached, codes, starts, dimensions).withColumn("done", F.lit(False)))
+            found = older.unionByName(_measured(reached, points, starts, form).withColumn("done", F.lit(False)))
         best = found.withColumn("_nr", F.row_number().over(by_distance)).where(F.col("_nr") <= how.beam).drop("_nr")
         return scratch.write(best, "beam")
 
@@ -320,24 +338,23 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, how: D
     scratch = Scratch(spark, "neighbours")
     valid = usable(vectors)
     classes = scratch.write(classes_of(valid, k + 1), "classes")
-    vectors_n = classes.count()
-    first = classes.select(F.size("vec").alias("n")).first()
-    dimensions = first["n"] if first else 0
+    single = F.forall("vec", lambda x: x.cast("float").cast("double") == x)
+    found = classes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dimensions"), F.bool_and(single).alias("single")).first()
     fields = "query_id long, rank int, vec_id long, score double"
-    if not vectors_n:
+    if not found["n"]:
         return spark.createDataFrame([], fields)
 
-    codes = scratch.write(coded(classes, dimensions, vectors_n, how), "codes")
-    graph = build_graph(codes, dimensions, vectors_n, how, scratch)
+    form = Form(found["dimensions"], "<f4" if found["single"] else "<f8")
+    how = replace(how, beam=max(how.beam, 4 * (k + 1)))
+    points = scratch.write(placed_points(classes, form, found["n"], how), "points")
+    graph = build_graph(points, form, found["n"], how, scratch)
     queries = valid.where(is_query).select(F.col("vec_id").alias("query_id"), "vec")
     queries = scratch.write(queries.join(classes.select("node", "vec"), "vec").select("query_id", F.col("node").alias("q")), "queries")
-    starts = queries.select("q").distinct().join(codes.withColumnRenamed("node", "q"), "q").select("q", "code", "scale")
+    starts = queries.select("q").distinct().join(points.withColumnRenamed("node", "q"), "q").select("q", "point")
     starts = scratch.write(starts, "starts")
-    beam = search(starts, graph, codes, dimensions, how, scratch)
+    beam = search(starts, graph, points, form, how, scratch)
 
-    place = Window.partitionBy("q").orderBy("d", "w")
-    close = beam.withColumn("_nr", F.row_number().over(place)).where(F.col("_nr") <= how.exact).select("q", "w")
-    close = close.unionByName(starts.select("q", F.col("q").alias("w")))  # copies of the query
+    close = beam.select("q", "w").unionByName(starts.select("q", F.col("q").alias("w")))  # copies of the query
     theirs = classes.select(F.col("node").alias("w"), "members", "vec")
     own = classes.select(F.col("node").alias("q"), F.col("vec").alias("_vec"))
     squares = F.zip_with("vec", "_vec", lambda a, b: (a - b) * (a - b))
