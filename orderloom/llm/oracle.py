@@ -98,4 +98,26 @@ ORACLE_SQL = {
                     THEN 'open' ELSE 'broken' END AS turn_order
         FROM whole
     """,
+    "op13_hard_negatives": """
+        WITH sound AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS code
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                   CAST(list_dot_product(a.code, b.code) AS BIGINT) AS score
+            FROM sound a JOIN sound b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+        ), positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT p.anchor_id, p.positive_id,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS INT) AS rank,
+               n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+        FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+             AND 80 * p.positive_score <= 100 * n.score AND 100 * n.score <= 100 * p.positive_score
+        QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) <= 5
+    """,
 }

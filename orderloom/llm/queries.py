@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.chat import chat_digests, format_chats
 from orderloom.llm.exact_dedup import exact_dedup
+from orderloom.llm.hard_negatives import mine_negatives
 from orderloom.llm.html_text import extract_text
 from orderloom.llm.mixing import mix_documents
 from orderloom.llm.near_dup import near_duplicates
 from orderloom.llm.neighbours import nearest_neighbours
 from orderloom.llm.packing import pack
 from orderloom.llm.separator_scan import token_counts
+from orderloom.llm.spelling import count_words, spelling_variants
 from orderloom.llm.toxicity import learn, score_documents
 from orderloom.llm.url_rules import judge_urls
 
@@ -82,6 +84,16 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(count_words(_table(spark, sf_dir, "documents"), damage_every=199))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # One label in seven is moved on, so that near vectors differ in label.
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
@@ -95,5 +107,7 @@ QUERIES: dict[str, Query] = {
         op8_chat_formatting,
         op9_near_duplicates,
         op10_nearest_neighbours,
+        op11_spelling_variants,
+        op13_hard_negatives,
     )
 }

@@ -4,6 +4,8 @@ import html
 import itertools
 import re
 import string
+import zlib
+from collections import Counter
 
 LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 
@@ -52,3 +54,41 @@ def article(page):
     blocks = re.split(r"</?(?:p|h1)>", found[1]) if found else []
     texts = (" ".join(html.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in blocks)
     return "\n".join(t for t in texts if t)
+
+
+def damaged(doc_id, run, every):
+    """A run of letters, lower-cased, with a letter taken out where the checksum says so."""
+    low = run.translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase))
+    mark = zlib.crc32(f"{'' if doc_id is None else doc_id}:{low}".encode())
+    return low if mark % every else low[: mark % len(low)] + low[mark % len(low) + 1 :]
+
+
+def one_edit(a, b):
+    """Whether one inserted, deleted or replaced letter makes ``b`` of ``a``."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def spelling(counts, ratio=5):
+    """(word, form, root, n, n_near, form_n) by comparing all pairs."""
+    near = {w: [v for v in counts if v != w and one_edit(v, w)] for w in counts}
+    form = {}
+    for word, others in near.items():
+        best = min(others, key=lambda v: (-counts[v], v), default=None)
+        form[word] = best if best is not None and counts[best] >= ratio * counts[word] else None
+    rows = []
+    for word in counts:
+        root = word
+        while form[root] is not None:
+            root = form[root]
+        rows.append((word, form[word], root, counts[word], len(near[word]), counts.get(form[word])))
+    return sorted(rows)
+
+
+def word_counts(docs, every, least_length=6, least_count=5):
+    counts = Counter(
+        damaged(doc, run, every) for doc, text in docs for run in re.findall("[A-Za-zÀ-ÿ]+", text or "")
+    )
+    return {w: n for w, n in counts.items() if len(w) >= least_length and n >= least_count}

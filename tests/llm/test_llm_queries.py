@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as contract
 import corpus_pipeline
 from compare import connect, duck_table, spark_table
-from llm.brute import article, best_fit, near_components
+from llm.brute import article, best_fit, near_components, spelling, word_counts
 from orderloom.llm.oracle import ORACLE_SQL
 from orderloom.llm.queries import QUERIES
 
@@ -33,7 +33,7 @@ def run(spark, sf_dir, name):
 
 def test_all_operators_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "mixing", "packing"]
 
@@ -104,6 +104,12 @@ def test_nearest_neighbours(spark, duck, sf_dir):
     assert found >= 9 * len(by_query)
 
 
+def test_spelling_variants(spark, sf_dir, texts):
+    rows = run(spark, sf_dir, "op11_spelling_variants")
+    got = sorted((r.word, r.form, r.root, r.n, r.n_near, r.form_n) for r in rows)
+    assert got == spelling(word_counts(texts.items(), 199))
+
+
 def test_pipeline_stages(spark, sf_dir, texts):
     """Each stage keeps the columns of documents and does its part on what it is given."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
