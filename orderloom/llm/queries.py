@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom.llm import lm_scoring
 from orderloom.llm.chat import chat_digests, format_chats
 from orderloom.llm.exact_dedup import exact_dedup
 from orderloom.llm.hard_negatives import mine_negatives
@@ -88,6 +89,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(count_words(_table(spark, sf_dir, "documents"), damage_every=199))
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     # One label in seven is moved on, so that near vectors differ in label.
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -108,6 +113,7 @@ QUERIES: dict[str, Query] = {
         op9_near_duplicates,
         op10_nearest_neighbours,
         op11_spelling_variants,
+        op12_lm_scoring,
         op13_hard_negatives,
     )
 }
