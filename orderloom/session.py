@@ -56,6 +56,22 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
+def list_folder(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """Name and time of change, in seconds, of the folders in a folder; none where it is missing."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return []
+    found = [f for f in files.listStatus(target) if f.isDirectory()]
+    return sorted((f.getPath().getName(), f.getModificationTime() / 1000) for f in found)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Drop the databases and delete the files that this application keeps as
     scratch, once no result that reads them is needed."""

@@ -1,4 +1,21 @@
-from orderloom.sinks.tables import append_table, create_database, refresh_table
+from orderloom.sinks.tables import (
+    append_table,
+    cluster_table,
+    compact_table,
+    create_database,
+    drop_table,
+    refresh_table,
+    remove_old_versions,
+)
 from orderloom.sinks.topic import publish
 
-__all__ = ["append_table", "create_database", "publish", "refresh_table"]
+__all__ = [
+    "append_table",
+    "cluster_table",
+    "compact_table",
+    "create_database",
+    "drop_table",
+    "publish",
+    "refresh_table",
+    "remove_old_versions",
+]

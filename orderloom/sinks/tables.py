@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.session import delete_path
-
-_TIE = "_tie"
+from orderloom.sinks import versions
+from orderloom.sinks.versions import COMPACT_BYTES, KEEP_OLD, MOST_PARTS, PART_BYTES, VersionedTable
 
 
 def create_database(spark: SparkSession, database: str, path: str | None = None) -> None:
@@ -17,25 +16,6 @@ def create_database(spark: SparkSession, database: str, path: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{location}")
 
 
-def clustered(df: DataFrame, *columns: str) -> DataFrame:
-    """Rows in files whose ranges of ``columns`` follow each other, so that a
-    filter on them skips files.
-
-    One value may hold much of the table. A tie-breaker made of the row and of
-    the input partition therefore extends the range key: a large value spans
-    several files, and a set of equal rows is still cut by partition. It does not
-    change when a task is run again. The partition count is left open, so AQE
-    merges small ranges; that is the compaction.
-    """
-    tie = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
-    return (
-        df.withColumn(_TIE, tie)
-        .repartitionByRange(*[F.col(c) for c in columns], F.col(_TIE))
-        .drop(_TIE)
-        .sortWithinPartitions(*columns)
-    )
-
-
 def compacted(df: DataFrame) -> DataFrame:
     """Even files of the size AQE aims at, however many tasks made the rows."""
     return df.hint("rebalance")
@@ -49,47 +29,66 @@ def refresh_table(
     table_format: str = "parquet",
     cluster_by: tuple[str, ...] = (),
     compact: bool = False,
+    keep: timedelta = KEEP_OLD,
 ) -> int:
     """Replace a table with its schema and return the number of rows written.
 
-    On Parquet the new version is complete before the table is switched to it, and
-    the count is observed in the writing stage itself, so no second scan is made and
-    a rerun of a lost map task is not counted twice. Other formats commit in their own way and answer a count from their metadata.
+    On Parquet readers see the old table until the new one is complete, and those that
+    were planned before finish on the old files, which stay for ``keep``. Other formats
+    commit in their own way and answer a count from their metadata.
     """
-    if cluster_by:
-        df = clustered(df, *cluster_by)
-    elif compact:
+    if compact and not cluster_by:
         df = compacted(df)
+    if table_format == "parquet":
+        return versions.refresh(VersionedTable(df.sparkSession, database, table), df, cluster_by, keep)
     name = f"{database}.{table}"
-    if table_format != "parquet":
-        writer = df.write.format(table_format).mode("overwrite")
-        if table_format == "delta":
-            writer = writer.option("overwriteSchema", "true")
-        writer.saveAsTable(name)
-        return df.sparkSession.table(name).count()
-    return _switch(df, database, table)
-
-
-def _switch(df: DataFrame, database: str, table: str) -> int:
-    """Write a new version beside the old one, then point the table at it. Until
-    the new files are complete, readers and a failed write see the old table."""
-    spark, name = df.sparkSession, f"{database}.{table}"
-    root = spark.catalog.getDatabase(database).locationUri.rstrip("/")
-    version = f"{root}/{table}-{uuid.uuid4().hex}"
-    written = Observation()
-    df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(version)
-    old = _location(spark, name) if spark.catalog.tableExists(name) else None
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=version, source="parquet", schema=df.schema)
-    if old and old.startswith(f"{root}/{table}"):
-        delete_path(spark, old)
-    return written.get["rows"]
-
-
-def _location(spark: SparkSession, name: str) -> str | None:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
-    return rows[0]["data_type"] if rows else None
-
-
-def append_table(df: DataFrame, database: str, table: str, table_format: str = "parquet") -> None:
-    df.write.format(table_format).mode("append").saveAsTable(f"{database}.{table}")
+    if cluster_by:
+        df = versions.in_key_order(df, cluster_by).drop("part")
+    writer = df.write.format(table_format).mode("overwrite")
+    if table_format == "delta":
+        writer = writer.option("overwriteSchema", "true")
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name).count()
+
+
+def append_table(
+    df: DataFrame, database: str, table: str, table_format: str = "parquet", *, most_parts: int = MOST_PARTS
+) -> None:
+    """Add rows to a table, or start it. On Parquet, small parts are put together once
+    there are more than ``most_parts``."""
+    if table_format == "parquet":
+        versions.append(VersionedTable(df.sparkSession, database, table), df, most_parts)
+    else:
+        df.write.format(table_format).mode("append").saveAsTable(f"{database}.{table}")
+
+
+def compact_table(
+    spark: SparkSession, database: str, table: str, *, most_bytes: int = COMPACT_BYTES, keep: timedelta = KEEP_OLD
+) -> int:
+    """Put the small parts of a Parquet table together, in place; how many there were."""
+    return versions.compact(VersionedTable(spark, database, table), most_bytes, keep)
+
+
+def cluster_table(
+    spark: SparkSession,
+    database: str,
+    table: str,
+    *columns: str,
+    part_bytes: int = PART_BYTES,
+    keep: timedelta = KEEP_OLD,
+) -> int:
+    """Order a Parquet table by ``columns``, in place, rewriting only what overlaps or is
+    small; how many parts were rewritten. Worth calling again and again on a table that grows."""
+    return versions.cluster(VersionedTable(spark, database, table), columns, part_bytes, keep)
+
+
+def remove_old_versions(spark: SparkSession, database: str, table: str, keep: timedelta = KEEP_OLD) -> None:
+    """Delete files of a Parquet table that were replaced, or left behind, longer ago than ``keep``."""
+    VersionedTable(spark, database, table).remove_old(keep)
+
+
+def drop_table(spark: SparkSession, database: str, table: str) -> None:
+    """Drop a Parquet table together with all its files."""
+    gone = VersionedTable(spark, database, table)
+    spark.sql(f"DROP VIEW IF EXISTS {gone.name}")
+    delete_path(spark, gone.root)
