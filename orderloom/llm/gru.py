@@ -156,7 +156,7 @@ class Model:
         lengths = np.fromiter(map(len, docs), np.int64, len(docs))
         order = np.argsort(-lengths, kind="stable")
         lengths, total = lengths[order], np.zeros(len(docs))
-        flat = np.concatenate([np.empty(0, np.int64), *(docs[i] for i in order)]).astype(np.int64)
+        flat = np.concatenate([np.empty(0, np.int32), *(docs[i] for i in order)]).astype(np.int32)
         first = np.cumsum(lengths) - lengths
         table = self.views["embed"] @ self.views["inward"] + self.views["gate_bias"]
         onward, states = self.views["onward"], np.zeros((len(docs), hidden), np.float32)
@@ -244,11 +244,11 @@ def windows(
     """The documents end to end, cut into streams of one length: inputs, targets and
     starts of documents, window after window. A few tokens at the end of the streams,
     fewer than there are streams, repeat the beginning."""
-    targets = np.concatenate(docs).astype(np.int64)
+    targets = np.concatenate(docs).astype(np.int32)
     fresh = np.zeros(len(targets), bool)
     lengths = np.fromiter(map(len, docs), np.int64, len(docs))
     fresh[np.cumsum(lengths) - lengths] = True
-    inputs = np.concatenate([[shape.start], targets[:-1]])
+    inputs = np.concatenate([targets[:1], targets[:-1]])
     inputs[fresh] = shape.start
     long = -(-len(targets) // streams)
     place = np.resize(np.arange(len(targets)), long * streams).reshape(streams, long).T

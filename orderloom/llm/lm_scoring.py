@@ -16,6 +16,7 @@ import math
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +28,17 @@ from orderloom.llm.tables import Scratch, settings
 
 # A document ends with this token, which no word can be.
 END = b""
-# Words that a task counts before it hands them on, and tokens it trains or scores at a time.
+# Words that a task counts before it hands them on.
 MOST_COUNTED = 500_000
-MOST_TOKENS = 1 << 21
+# Tokens that a task holds. Long documents outlast the others that are scored with them,
+# so it is better to score many together.
+TRAINED_AT_ONCE = 1 << 21
+SCORED_AT_ONCE = 1 << 22
 TEXTS_PER_BATCH = "500"
 # Averaging deals the parameters out in pieces of this many.
 PIECE = 4096
+# How symbols are stored; the plan keeps their number below 65536.
+_SYMBOL = "<u2"
 LN10 = math.log(10)
 
 Batches = Iterable[pa.RecordBatch]
@@ -60,6 +66,10 @@ class Plan:
     rate: float = 0.01
     seed: int = 7
 
+    def __post_init__(self) -> None:
+        if self.head_words + self.bands >= 1 << 16:
+            raise ValueError("head words and bands together must stay below 65536")
+
     def passes(self, tokens: int) -> int:
         return max(1, min(self.most_passes, -(-self.least_tokens // max(1, tokens))))
 
@@ -176,12 +186,12 @@ def _encoded(vocabulary) -> Task:
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
         known = vocabulary.value
         index, other = known.index(), len(known.symbol) - 1
-        symbol = known.symbol.astype("<u4")
+        symbol = known.symbol.astype(_SYMBOL)
         for rows in batches:
             columns: list[list] = [[] for _ in range(7)]
             for text in _bytes(rows.column(rows.num_columns - 1)):
                 tokens = tokens_of(text)
-                at = np.fromiter((index.get(t, other) for t in tokens), np.int64, len(tokens))
+                at = np.fromiter(map(index.get, tokens, repeat(other)), np.int64, len(tokens))
                 rare = Counter(tokens[i] for i in np.flatnonzero(at == other))
                 values = (
                     len(at), int(known.known[at].sum()), float(known.base[at].sum()), float(known.inside[at].sum()),
@@ -198,15 +208,15 @@ def _encoded(vocabulary) -> Task:
     return run
 
 
-def _documents(batches: Batches, place: int) -> Iterator[tuple[pa.Table, list[np.ndarray]]]:
-    """Rows with their symbols, about ``MOST_TOKENS`` at a time."""
+def _documents(batches: Batches, place: int, most: int) -> Iterator[tuple[pa.Table, list[np.ndarray]]]:
+    """Rows with their symbols, about ``most`` symbols at a time."""
     held, docs, tokens = [], [], 0
     for rows in batches:
         held.append(rows)
-        new = [np.frombuffer(s, "<u4").astype(np.int64) for s in rows.column(place).to_pylist()]
+        new = [np.frombuffer(s, _SYMBOL) for s in rows.column(place).to_pylist()]
         docs += new
         tokens += sum(map(len, new))
-        if tokens >= MOST_TOKENS:
+        if tokens >= most:
             yield pa.Table.from_batches(held), docs
             held, docs, tokens = [], [], 0
     if docs:
@@ -218,7 +228,7 @@ def _trained(start, shape: Shape, rate: float) -> Task:
 
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
         model, tokens = Model(shape, start.value.copy()), 0
-        for _, docs in _documents(batches, 0):
+        for _, docs in _documents(batches, 0, TRAINED_AT_ONCE):
             train(model, docs, rate)
             tokens += sum(map(len, docs))
         if tokens:
@@ -266,7 +276,7 @@ def fit(encoded: DataFrame, vocabulary: Vocabulary, plan: Plan) -> Model:
 def _scored(model, shape: Shape) -> Task:
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
         scorer = Model(shape, model.value)
-        for table, docs in _documents(batches, 1):
+        for table, docs in _documents(batches, 1, SCORED_AT_ONCE):
             columns = [table["row"].combine_chunks(), pa.array(scorer.score(docs) / LN10)]
             yield pa.RecordBatch.from_arrays(columns, ["row", "model"])
 
@@ -306,9 +316,11 @@ def score_documents(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     shared.destroy()
     encoded = spark.read.schema(schema).parquet(path)
 
+    encoded_tokens = encoded.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
     trained = spark.sparkContext.broadcast(fit(encoded, vocabulary, plan).flat)
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=TEXTS_PER_BATCH):
-        scores = encoded.select("row", "symbols").mapInArrow(_scored(trained, vocabulary.shape), "row long, model double")
+        tasks = max(spark.sparkContext.defaultParallelism, encoded_tokens // SCORED_AT_ONCE)
+        scores = encoded.select("row", "symbols").coalesce(tasks).mapInArrow(_scored(trained, vocabulary.shape), "row long, model double")
         scores = scratch.write(scores, "scores")
     trained.destroy()
 
