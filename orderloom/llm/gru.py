@@ -149,7 +149,7 @@ class Model:
                 slope[at] += odds @ v["to_word"][c].T
         return found, slope
 
-    def score(self, docs: list[np.ndarray], window: int = 64) -> np.ndarray:
+    def score(self, docs: list[np.ndarray], window: int = 32) -> np.ndarray:
         """Natural log-probability of each document's symbols. The documents run side
         by side, window after window, and take their states along."""
         shape, hidden = self.shape, self.shape.hidden
