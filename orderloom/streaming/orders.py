@@ -3,8 +3,7 @@
 The work per record has no state: parse, compare, route. ``land_orders`` writes
 both routes through one file sink, whose commit log makes the output exactly
 once. ``land_and_print`` also prints every match, as lines of text that the
-executors write, and gives each batch a folder of its own, so that a repeated batch
-replaces itself.
+executors write; its outputs are committed together, batch by batch (``commits``).
 """
 
 from __future__ import annotations
@@ -12,6 +11,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +19,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from orderloom.config import HIGH_VALUE_THRESHOLD
 from orderloom.functions.events import EVENT_SCHEMA, one_line, parse_event
-
-HIGH_VALUE, DEAD_LETTER, PRINTED = "high_value", "dead_letter", "printed"
+from orderloom.streaming.commits import (
+    COMPACT_BYTES,
+    KEEP_REPLACED,
+    batch_name,
+    commit,
+    compact_batches,
+    is_committed,
+    output_path,
+    read_committed,
+    run_of,
+)
+
+OUTPUTS = HIGH_VALUE, DEAD_LETTER, PRINTED = "high_value", "dead_letter", "printed"
 PREFIX = "above threshold: "
 _COUNTS = "order_events"
 
@@ -107,34 +118,44 @@ def land_and_print(
 ) -> StreamingQuery:
     """Land both routes per batch, and print every match to a second output.
 
-    The batch is kept while its outputs are written, so the source is read once.
-    ``counts`` grows by what each batch has written. ``preview`` is no sink: it is
+    The batch is kept while its outputs are written, so the source is read once, and they
+    count together once its marker is written. ``counts`` grows by what each batch has
+    written; ``landed_totals`` gives the total over all runs. ``preview`` is no sink: it is
     called with the first ``preview_rows`` printed lines of a batch, which come to
     the driver.
     """
     counts = counts or StreamCounts()
+    spark, run = values.sparkSession, None
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        matched, rejected = Observation(), Observation()
+        nonlocal run
+        if run is None:
+            run = run_of(spark, checkpoint)
+            # Only the first batch after a start can have been committed before.
+            if is_committed(spark, path, run, batch_id):
+                return
+        name, matched, rejected = batch_name(run, batch_id), Observation(), Observation()
         batch = batch.persist()
         try:
             matches = batch.where(F.col("route") == HIGH_VALUE).select(one_line(F.col("value")).alias("value"))
             matches.observe(matched, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").text(
-                f"{path}/{HIGH_VALUE}/batch={batch_id}"
+                output_path(path, HIGH_VALUE, name)
             )
             dead = batch.where(F.col("route") == DEAD_LETTER).select("value", "reason")
             dead.observe(rejected, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").json(
-                f"{path}/{DEAD_LETTER}/batch={batch_id}"
+                output_path(path, DEAD_LETTER, name)
             )
             printed = matches.select(F.concat(F.lit(PREFIX), "value").alias("value"))
-            printed.write.mode("overwrite").text(f"{path}/{PRINTED}/batch={batch_id}")
+            printed.write.mode("overwrite").text(output_path(path, PRINTED, name))
+            found = matched.get["rows"], rejected.get["rows"]
+            commit(spark, path, name, run, batch_id, batch_id, *found)
             if preview:
                 for row in printed.take(preview_rows):
                     preview(row["value"])
         finally:
             batch.unpersist()
-        counts.matched += matched.get["rows"]
-        counts.rejected += rejected.get["rows"]
+        counts.matched += found[0]
+        counts.rejected += found[1]
 
     writer = (
         route_events(values, threshold)
@@ -146,17 +167,25 @@ def land_and_print(
 
 
 def read_batches(spark: SparkSession, path: str, route: str = HIGH_VALUE) -> DataFrame:
-    """What ``land_and_print`` has landed on one route."""
+    """What ``land_and_print`` has landed on one route, in committed batches."""
     schema = EVENT_SCHEMA if route == HIGH_VALUE else "value string, reason string"
-    return spark.read.schema(f"{schema}, batch long").json(f"{path}/{route}").drop("batch")
+    return read_committed(spark, path, route, schema)
 
 
 def read_printed(spark: SparkSession, path: str) -> DataFrame:
-    """The events, as JSON text, that ``land_and_print`` has printed."""
-    lines = spark.read.text(f"{path}/{PRINTED}").select("value")
+    """The events, as JSON text, that ``land_and_print`` has printed in committed batches."""
+    lines = read_committed(spark, path, PRINTED, "value string", "text")
     return lines.select(F.substring("value", len(PREFIX) + 1, 1 << 30).alias("value"))
 
 
+def compact_printed_landing(
+    spark: SparkSession, path: str, *, most_bytes: int = COMPACT_BYTES, keep: timedelta = KEEP_REPLACED
+) -> int:
+    """Put the files of ``land_and_print`` together, in place, under readers and the
+    stream itself; how many batches were replaced."""
+    return compact_batches(spark, path, OUTPUTS, most_bytes=most_bytes, keep=keep)
+
+
 def compact_landing(spark: SparkSession, path: str, target: str) -> None:
     """Copy what ``land_orders`` has committed to ``path`` into few, even files."""
     landed = spark.read.schema("value string, route string").text(path)

@@ -1,0 +1,173 @@
+"""Batches that count once they are committed, their totals and their compaction."""
+
+import json
+import os
+from datetime import timedelta
+
+import pytest
+
+from orderloom.session import scratch_path
+from orderloom.sinks import publish
+from orderloom.sources import Topic, stream_topic
+from orderloom.streaming import (
+    StreamCounts,
+    commits,
+    compact_printed_landing,
+    drain,
+    land_and_print,
+    landed_totals,
+    orders,
+    read_batches,
+    read_printed,
+)
+from test_stream import event, values
+
+NOW = timedelta(0)
+
+
+@pytest.fixture
+def topic(spark):
+    return Topic(scratch_path(spark, "topic"), batch_limit=1)
+
+
+@pytest.fixture
+def out(spark):
+    return scratch_path(spark, "landing")
+
+
+def run(spark, topic, out, checkpoint=None):
+    counts = StreamCounts()
+    drain(land_and_print(stream_topic(spark, topic), out, checkpoint or f"{out}-checkpoint", counts=counts))
+    return counts
+
+
+def outputs(spark, out):
+    """What each output holds: customers landed, customers printed, dead letters."""
+    return (
+        sorted(r.customer_id for r in read_batches(spark, out).collect()),
+        sorted(json.loads(r.value)["customer_id"] for r in read_printed(spark, out).collect()),
+        sorted(r.value for r in read_batches(spark, out, "dead_letter").collect()),
+    )
+
+
+def names(*numbers):
+    return sorted(f"cust_{n}" for n in numbers)
+
+
+@pytest.mark.parametrize("killed_at", ["high_value", "dead_letter", "printed", "commit"])
+def test_a_batch_killed_between_its_writes_shows_nowhere_and_later_everywhere_once(
+    spark, topic, out, monkeypatch, killed_at
+):
+    publish(values(spark, event(1, 60), "broken one").coalesce(1), topic)
+    run(spark, topic, out)
+    before = outputs(spark, out)
+    assert before == (names(1), names(1), ["broken one"])
+
+    publish(values(spark, event(2, 70), event(3, 80), "broken two").coalesce(1), topic)
+    with monkeypatch.context() as patch:
+
+        def lost(*_, **__):
+            raise RuntimeError("killed")
+
+        if killed_at == "commit":
+            patch.setattr(orders, "commit", lost)
+        else:
+            whole = orders.output_path
+
+            def path_or_death(path, output, name):
+                return lost() if output == killed_at else whole(path, output, name)
+
+            patch.setattr(orders, "output_path", path_or_death)
+        with pytest.raises(Exception, match="killed"):
+            run(spark, topic, out)
+    assert outputs(spark, out) == before and landed_totals(spark, out).matched == 1
+
+    assert run(spark, topic, out).matched == 2
+    assert outputs(spark, out) == (names(1, 2, 3), names(1, 2, 3), ["broken one", "broken two"])
+    total = landed_totals(spark, out)
+    assert (total.batches, total.matched, total.rejected) == (2, 3, 2)
+
+
+def test_a_batch_that_was_committed_is_not_written_again(spark, topic, out, monkeypatch):
+    """The driver dies after the marker, before the stream notes the batch as done."""
+    publish(values(spark, event(1, 60)).coalesce(1), topic)
+    committed = orders.commit
+    with monkeypatch.context() as patch:
+
+        def commit_and_die(*args, **named):
+            committed(*args, **named)
+            raise RuntimeError("killed")
+
+        patch.setattr(orders, "commit", commit_and_die)
+        with pytest.raises(Exception, match="killed"):
+            run(spark, topic, out)
+    publish(values(spark, event(2, 70)).coalesce(1), topic)
+    assert run(spark, topic, out).matched == 1
+    assert outputs(spark, out)[:2] == (names(1, 2), names(1, 2)) and landed_totals(spark, out).matched == 2
+
+
+def test_the_total_outlives_drivers_and_checkpoints(spark, topic, out):
+    for n in range(3):
+        publish(values(spark, event(n, 60 + n), event(n, 10), "broken").coalesce(1), topic)
+        run(spark, topic, out)
+        assert landed_totals(spark, out).matched == n + 1
+    # A new checkpoint starts anew and numbers its batches from 0; nothing is mixed up.
+    assert run(spark, topic, out, f"{out}-other").matched == 3
+    total = landed_totals(spark, out)
+    assert (total.batches, total.matched, total.rejected) == (6, 6, 6)
+    assert outputs(spark, out)[0] == sorted(names(0, 1, 2) * 2)
+
+
+def test_nothing_landed_yet(spark, topic, out):
+    assert outputs(spark, out) == ([], [], []) and landed_totals(spark, out).batches == 0
+    publish(values(spark, event(1, 1)).coalesce(1), topic)
+    assert run(spark, topic, out).matched == 0
+    assert outputs(spark, out) == ([], [], []) and landed_totals(spark, out).batches == 1
+    assert compact_printed_landing(spark, out) == 0
+
+
+def files(out):
+    return sum(name.startswith("part-") for _, _, found in os.walk(out.removeprefix("file:")) for name in found)
+
+
+def test_small_batches_are_put_together_in_place(spark, topic, out):
+    publish(values(spark, *(event(n, 60) for n in range(24)), *(f"broken {n}" for n in range(8))).repartition(8), topic)
+    run(spark, topic, out)
+    before, total = outputs(spark, out), landed_totals(spark, out)
+    assert total.batches == 8
+    planned = read_batches(spark, out)
+    planned._jdf.queryExecution().executedPlan()
+    assert compact_printed_landing(spark, out) == 8
+    assert outputs(spark, out) == before and landed_totals(spark, out) == total
+    assert planned.count() == 24
+    many = files(out)
+    assert compact_printed_landing(spark, out, keep=NOW) == 0
+    assert files(out) < many / 3 and outputs(spark, out) == before and landed_totals(spark, out) == total
+
+    # The stream goes on, and the merged batch is merged again.
+    publish(values(spark, event(99, 60)).coalesce(1), topic)
+    assert run(spark, topic, out).matched == 1
+    assert compact_printed_landing(spark, out, keep=NOW) == 2
+    assert outputs(spark, out)[0] == sorted([*before[0], "cust_99"])
+    assert (landed_totals(spark, out).batches, landed_totals(spark, out).matched) == (9, 25)
+
+
+@pytest.mark.parametrize("step", ["commit", "delete_path"])
+def test_a_crash_while_compacting_changes_nothing(spark, topic, out, monkeypatch, step):
+    publish(values(spark, *(event(n, 60) for n in range(6)), "broken").repartition(3), topic)
+    run(spark, topic, out)
+    before, total = outputs(spark, out), landed_totals(spark, out)
+    with monkeypatch.context() as patch:
+        patch.setattr(commits, step, lambda *_, **__: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            compact_printed_landing(spark, out, keep=NOW)
+    assert outputs(spark, out) == before and landed_totals(spark, out) == total
+    compact_printed_landing(spark, out, keep=NOW)
+    assert outputs(spark, out) == before and landed_totals(spark, out) == total
+
+
+def test_batches_stay_within_the_size_asked_for(spark, topic, out):
+    publish(values(spark, *(event(n, 60) for n in range(40))).repartition(4), topic)
+    run(spark, topic, out)
+    assert compact_printed_landing(spark, out, most_bytes=1) == 0
+    assert landed_totals(spark, out).batches == 4
