@@ -1,7 +1,8 @@
-"""Column rules as Spark aggregates.
+"""Rules about rows, keys and references as Spark aggregates.
 
-All rules of a suite are conditional counts in one pass over the table. A
-membership rule joins the distinct keys of both sides, never the rows.
+All rules of a suite are conditional counts in one pass over the table. Rules about
+keys, that is membership and uniqueness, group the rows by key; a membership rule then
+joins the distinct keys of both sides, never the rows.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom.operators.joins import spread_join
 
@@ -85,7 +87,30 @@ class InReference:
         return f"{self.reference}.{self.reference_column}"
 
 
-Rule = NotNull | Between | InReference
+@dataclass(frozen=True)
+class Unique:
+    """No two rows share their values in ``columns``. Rows with a NULL among these are
+    not compared. All rows of a repeated key break the rule, the first one too."""
+
+    columns: tuple[str, ...]
+    kind = "unique"
+
+    def __init__(self, *columns: str):
+        if not columns:
+            raise ValueError("a uniqueness rule needs a column")
+        object.__setattr__(self, "columns", columns)
+
+    @property
+    def column(self) -> str:
+        return ",".join(self.columns)
+
+    @property
+    def detail(self) -> str:
+        return ""
+
+
+KeyRule = InReference | Unique
+Rule = NotNull | Between | InReference | Unique
 
 
 @dataclass(frozen=True)
@@ -100,6 +125,42 @@ def rule_label(rule: Rule) -> str:
     return f"{rule.kind}:{rule.column}"
 
 
+def _columns(rule: KeyRule) -> tuple[str, ...]:
+    return rule.columns if isinstance(rule, Unique) else (rule.column,)
+
+
+def _common_type(left: DataFrame, column: str, right: DataFrame, other: str) -> T.DataType:
+    """The type in which Spark would compare the two columns."""
+    kinds = left.schema[column].dataType, right.schema[other].dataType
+    return kinds[0] if kinds[0] == kinds[1] else left.select(column).union(right.select(other)).schema[0].dataType
+
+
+def _text(value: Column, kind: T.DataType) -> Column:
+    """A value as text that is equal where the values are."""
+    value = value.cast(kind)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        value = value + F.lit(0.0)  # one zero instead of two
+    elif isinstance(kind, T.BinaryType):
+        value = F.hex(value)
+    elif isinstance(kind, T.TimestampType):
+        value = F.unix_micros(value)
+    return value.cast("string")
+
+
+def _key(df: DataFrame, columns: tuple[str, ...], as_text: bool, kinds: list[T.DataType]) -> Column:
+    """One value per key: the column itself, or text that tells all keys apart. NULL
+    where a column is."""
+    if not as_text:
+        return F.col(columns[0]).cast(kinds[0])
+    texts = [_text(F.col(c), kind) for c, kind in zip(columns, kinds, strict=True)]
+    if len(texts) == 1:
+        return texts[0]
+    whole = F.lit(True)
+    for text in texts:
+        whole = whole & text.isNotNull()
+    return F.when(whole, F.to_json(F.array(*texts)))
+
+
 def _known_keys(rule: InReference, references: References) -> DataFrame:
     """The reference's keys, each once, with a mark that tells a match from none."""
     return (
@@ -115,13 +176,6 @@ def _is_unknown(rule: InReference) -> Column:
     return F.col(rule.column).isNotNull() & F.col(_KNOWN).isNull()
 
 
-def _per_key(df: DataFrame, rule: InReference, counters: list[Column], references: References) -> DataFrame:
-    """Counters per key, with the known keys marked. Rows collapse to one per key
-    and task before they are shuffled, so a hot key costs no more than another."""
-    grouped = df.groupBy(rule.column).agg(*counters)
-    return grouped.join(_known_keys(rule, references), rule.column, "left")
-
-
 def unknown_keys(df: DataFrame, rule: InReference, references: References) -> DataFrame:
     """Keys of ``df`` that the reference lacks, each with its number of rows."""
     counter = F.count(F.lit(1)).alias("row_count")
@@ -133,53 +187,96 @@ def unknown_keys(df: DataFrame, rule: InReference, references: References) -> Da
     )
 
 
+def repeated_keys(df: DataFrame, rule: Unique) -> DataFrame:
+    """Keys that several rows share, each with its number of rows. Rows collapse to one
+    per key and task before they are shuffled."""
+    present = df
+    for column in rule.columns:
+        present = present.where(F.col(column).isNotNull())
+    return present.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("row_count")).where("row_count > 1")
+
+
+def _grouped_keys(
+    df: DataFrame, rules: dict[int, KeyRule], flags: dict[str, Column], references: References
+) -> DataFrame:
+    """One row per rule and key, with its number of rows as ``checked``, the sums of the
+    flags on the rows of the first rule, and whether a reference knows the key.
+
+    A row has an entry for each rule, so all rules share one scan, one grouping and, for
+    the references, one join. Entries collapse to one per key and task before they are
+    shuffled, so a hot key costs no more than another.
+    """
+    kinds: dict[int, list[T.DataType]] = {}
+    for i, rule in rules.items():
+        if isinstance(rule, InReference):
+            kinds[i] = [_common_type(df, rule.column, references[rule.reference], rule.reference_column)]
+        else:
+            kinds[i] = [df.schema[c].dataType for c in rule.columns]
+    # Keys of one type need no detour over text.
+    as_text = any(len(k) > 1 for k in kinds.values()) or len({k[0].simpleString() for k in kinds.values()}) > 1
+
+    first, columns = min(rules), [flag.alias(name) for name, flag in flags.items()]
+    keys = {i: _key(df, _columns(rule), as_text, kinds[i]) for i, rule in rules.items()}
+    if len(rules) == 1:
+        entries = df.select(F.lit(first).alias("rule"), keys[first].alias("key"), *columns)
+    else:
+        listed = F.array(*(F.struct(F.lit(i).alias("rule"), key.alias("key")) for i, key in keys.items()))
+        entries = df.select(*columns, F.inline(listed))
+    lead = F.col("rule") == first
+    grouped = entries.groupBy("rule", "key").agg(
+        F.count(F.lit(1)).alias("checked"), *(F.count_if(F.col(name) & lead).alias(name) for name in flags)
+    )
+    known = None
+    for i, rule in rules.items():
+        if isinstance(rule, InReference):
+            frame = references[rule.reference]
+            key = _key(frame, (rule.reference_column,), as_text, kinds[i])
+            found = frame.select(F.lit(i).alias("rule"), key.alias("key")).where(F.col("key").isNotNull())
+            known = found if known is None else known.unionByName(found)
+    if known is None:
+        return grouped.withColumn(_KNOWN, F.lit(None).cast("boolean"))
+    return grouped.join(known.distinct().withColumn(_KNOWN, F.lit(True)), ["rule", "key"], "left")
+
+
 def evaluate(df: DataFrame, suite: Suite, asset: str, references: References | None = None) -> DataFrame:
     """One row per rule: how many rows were checked, how many broke it, and the
     verdict. The result has as many rows as the suite has rules.
 
-    The counters of all column rules ride on the grouping of the first membership
-    rule, so the table is read once; each further membership rule reads its one
-    column again.
+    The table is read once, and so is each reference, however many rules there are:
+    the counters of the column rules ride on the grouping by key.
     """
     references = references or {}
-    counters = {"checked": F.count(F.lit(1))}
-    membership: list[tuple[str, InReference]] = []
-    for i, rule in enumerate(suite.rules):
-        if isinstance(rule, InReference):
-            membership.append((f"broken_{i}", rule))
-        else:
-            counters[f"broken_{i}"] = F.count_if(rule.broken())
-    columns = [counter.alias(name) for name, counter in counters.items()]
+    by_key = {i: rule for i, rule in enumerate(suite.rules) if isinstance(rule, KeyRule)}
+    flags = {f"broken_{i}": rule.broken() for i, rule in enumerate(suite.rules) if i not in by_key}
 
-    def unknown_rows(name: str, rule: InReference) -> Column:
-        return F.coalesce(F.sum(F.when(_is_unknown(rule), F.col("checked"))), F.lit(0)).alias(name)
+    if by_key:
+        present = F.col("key").isNotNull()
 
-    if membership:
-        lead_name, lead = membership[0]
-        counts = _per_key(df, lead, columns, references).agg(
-            *(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counters),
-            unknown_rows(lead_name, lead),
-        )
+        def rows(i: int, rule: KeyRule) -> Column:
+            broken = F.col("checked") > 1 if isinstance(rule, Unique) else F.col(_KNOWN).isNull()
+            return F.sum(F.when((F.col("rule") == i) & present & broken, F.col("checked")))
+
+        sums = {"checked": F.sum(F.when(F.col("rule") == min(by_key), F.col("checked")))}
+        sums |= {name: F.sum(name) for name in flags}
+        sums |= {f"broken_{i}": rows(i, rule) for i, rule in by_key.items()}
+        grouped = _grouped_keys(df, by_key, flags, references)
+        counts = grouped.agg(*(F.coalesce(total, F.lit(0)).alias(name) for name, total in sums.items()))
     else:
-        counts = df.agg(*columns)
-    unexpected = {name: F.col(name) for name in counts.columns}
-    for name, rule in membership[1:]:
-        keyed = _per_key(df, rule, [F.count(F.lit(1)).alias("checked")], references)
-        unexpected[name] = keyed.agg(unknown_rows(name, rule)).scalar()
+        counts = df.agg(F.count(F.lit(1)).alias("checked"), *(F.count_if(f).alias(name) for name, f in flags.items()))
 
-    rows = [
+    results = [
         F.struct(
             F.lit(i + 1).alias("rule_no"),
             F.lit(rule.kind).alias("rule"),
             F.lit(rule.column).alias("column"),
             F.lit(rule.detail).alias("detail"),
             F.col("checked").alias("element_count"),
-            unexpected[f"broken_{i}"].alias("unexpected_count"),
+            F.col(f"broken_{i}").alias("unexpected_count"),
         )
         for i, rule in enumerate(suite.rules)
     ]
     return (
-        counts.select(F.array(*rows).alias("results"))
+        counts.select(F.array(*results).alias("results"))
         .select(F.inline("results"))
         .select(
             F.lit(suite.name).alias("suite"),
@@ -201,7 +298,11 @@ def overall(results: DataFrame) -> DataFrame:
 
 
 def failing_rows(df: DataFrame, suite: Suite, references: References | None = None) -> DataFrame:
-    """The rows that break at least one rule, with the labels of those rules."""
+    """The rows that break at least one rule, with the labels of those rules.
+
+    Keys that are unknown or repeated are found first; the rows then meet them in a join
+    that deals the rows of a hot key over several tasks.
+    """
     references = references or {}
     columns, labels = df.columns, []
     for i, rule in enumerate(suite.rules):
@@ -211,6 +312,14 @@ def failing_rows(df: DataFrame, suite: Suite, references: References | None = No
             joined = spread_join(df, _known_keys(rule, references), rule.column, "left")
             df = joined.withColumn(flag, _is_unknown(rule)).drop(_KNOWN)
             labels.append(F.when(F.col(flag), label))
+        elif isinstance(rule, Unique):
+            key, flag = f"_key_{i}", f"_repeated_{i}"
+            kinds = [df.schema[c].dataType for c in rule.columns]
+            keyed = df.withColumn(key, _key(df, rule.columns, len(kinds) > 1, kinds))
+            counted = keyed.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+            repeated = counted.where("_rows > 1").select(key, F.lit(True).alias(flag))
+            df = spread_join(keyed, repeated, key, "left").drop(key)
+            labels.append(F.when(F.col(flag), label))
         else:
             labels.append(F.when(rule.broken(), label))
     return (

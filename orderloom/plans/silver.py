@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.columns import day_of
 from orderloom.operators.aggregates import key_total
-from orderloom.operators.dedupe import keep_one
+from orderloom.operators.dedupe import keep_latest
 from orderloom.operators.joins import ROWS_PER_BUCKET, default_buckets, hot_keys, spread_join
 
 SILVER_COLUMNS = (
@@ -31,11 +31,12 @@ def clean_orders(orders: DataFrame) -> DataFrame:
     Rows without a key go first: a copy without a customer must not displace the
     complete one. Of differing copies the latest purchase is kept.
     """
-    unique = keep_one(
+    unique = keep_latest(
         orders.where("order_id IS NOT NULL AND customer_id IS NOT NULL"),
         ["order_id"],
         ["customer_id", "order_status", "order_purchase_timestamp"],
-        prefer=("order_purchase_timestamp",),
+        by="order_purchase_timestamp",
+        labels=("order_status",),
     )
     return unique.select(
         "order_id",

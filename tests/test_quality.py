@@ -8,9 +8,11 @@ from orderloom.operators.quality import (
     InReference,
     NotNull,
     Suite,
+    Unique,
     evaluate,
     failing_rows,
     overall,
+    repeated_keys,
     unknown_keys,
 )
 from orderloom.plans.quality_gate import order_line_suite, record_run, run_suite
@@ -126,3 +128,84 @@ def test_nan_is_missing(spark):
     suite = Suite("s", (NotNull("amount"), NotNull("name"), Between("amount", 0, 10)))
     found = {(r["rule"], r["column"]): r["unexpected_count"] for r in evaluate(rows, suite, "a").collect()}
     assert found == {("not_null", "amount"): 1, ("not_null", "name"): 1, ("between", "amount"): 1}
+
+
+# ---- keys
+
+
+def test_all_rows_of_a_repeated_key_break_the_rule(spark):
+    df = spark.createDataFrame(
+        [("a", 1), ("a", 1), ("a", 2), ("b", 1), (None, 1), (None, 1), ("c", None), ("c", None)], "k string, n int"
+    )
+    suite = Suite("s", (Unique("k"), Unique("n"), Unique("k", "n"), NotNull("k")))
+    assert broken(spark, df, suite) == [5, 5, 2, 2]
+    assert [broken(spark, df, Suite("s", (rule,))) for rule in suite.rules] == [[5], [5], [2], [2]]
+    assert {tuple(r) for r in repeated_keys(df, Unique("k", "n")).collect()} == {("a", 1, 2)}
+    labels = {r.rule_no: (r["rule"], r["column"]) for r in evaluate(df, suite, "a").collect()}
+    assert labels[3] == ("unique", "k,n")
+    with pytest.raises(ValueError):
+        Unique()
+
+
+def test_keys_that_look_alike_are_told_apart(spark):
+    df = spark.createDataFrame([("a,b", "c"), ("a", "b,c"), ('a","b', "c"), ("a", 'b","c'), ("", "x"), ("x", "")], "k string, m string")
+    assert broken(spark, df, Suite("s", (Unique("k", "m"),))) == [0]
+
+
+def test_zeros_are_one_key_and_so_are_equal_times(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES (0.0D, TIMESTAMP '2024-03-31 00:30:00', X'00ff'), (-0.0D, TIMESTAMP '2024-03-31 00:30:00', X'00fe')"
+        " t(d, t, b)"
+    )
+    assert broken(spark, df, Suite("s", (Unique("d"), Unique("t"), Unique("b"), Unique("d", "t"), Unique("d", "b")))) == [2, 2, 0, 2, 0]
+
+
+@pytest.mark.parametrize("joins", ["spark", "shuffled_joins"])
+def test_failing_rows_of_repeated_keys_keep_every_row(request, joins):
+    spark = request.getfixturevalue(joins)
+    df = spark.range(900).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 100 = 1 THEN NULL ELSE CAST(id AS STRING) END AS k", "id % 2 AS m"
+    )
+    rows = failing_rows(df, Suite("s", (Unique("k"), Unique("k", "m"), Between("id", high=880)))).collect()
+    found = {r.id: r.broken_rules for r in rows}
+    assert len(rows) == len(found) == 300 + sum(1 for i in range(881, 900) if i % 3)
+    assert found[0] == ["unique:k", "unique:k,m"] and found[898] == ["between:id"] and found[897][-1] == "between:id"
+    assert rows[0].__fields__ == ["id", "k", "m", "broken_rules"]
+
+
+def test_references_of_other_types_in_one_pass(spark):
+    df = spark.createDataFrame([(1, 2.0, "x"), (2, 3.5, "y"), (3, None, None), (1, 2.0, "z")], "i int, d double, s string")
+    references = {
+        "longs": spark.createDataFrame([(1,), (1 << 40,)], "id bigint"),
+        "whole": spark.createDataFrame([(2,), (3,)], "id int"),
+        "text": spark.createDataFrame([("x",), (None,)], "name string"),
+    }
+    rules = (InReference("i", "longs", "id"), InReference("d", "whole", "id"), InReference("s", "text", "name"), Unique("i"), Unique("i", "d"))
+    results = evaluate(df, Suite("s", rules), "a", references).orderBy("rule_no").collect()
+    assert [r.unexpected_count for r in results] == [2, 1, 2, 2, 2] and {r.element_count for r in results} == {4}
+    assert [broken(spark, df, Suite("s", (r,)), references)[0] for r in rules] == [2, 1, 2, 2, 2]
+
+
+def test_a_suite_with_many_key_rules_reads_the_table_once(shuffled_joins, sf_dir):
+    spark = shuffled_joins
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    references = {"orders": spark.read.parquet(f"{sf_dir}/orders.parquet"), "parts": spark.read.parquet(f"{sf_dir}/part.parquet")}
+    suite = Suite(
+        "s",
+        (
+            InReference("l_orderkey", "orders", "o_orderkey"), InReference("l_partkey", "parts", "p_partkey"),
+            Unique("l_orderkey", "l_linenumber"), NotNull("l_tax"), Between("l_quantity", 1, 50),
+        ),
+    )
+    plan = evaluate(items, suite, "a", references)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert sum("lineitem" in s or "l_orderkey" in s for s in scans) == 1 and len(scans) == 3
+    assert plan.count("SortMergeJoin") == 1 and "CartesianProduct" not in plan
+
+
+def test_empty_tables_hold_every_key_rule(spark):
+    empty = spark.createDataFrame([], "k string, n int")
+    suite = Suite("s", (Unique("k"), InReference("n", "r", "n"), Unique("k", "n"), NotNull("k")))
+    results = evaluate(empty, suite, "a", {"r": empty}).collect()
+    assert {(r.element_count, r.unexpected_count, r.success) for r in results} == {(0, 0, True)} and len(results) == 4
+    assert failing_rows(empty, suite, {"r": empty}).count() == 0
