@@ -10,8 +10,16 @@ from pathlib import Path
 from orderloom import config
 from orderloom.plans import staged_run
 from orderloom.session import build_session
+from orderloom.sinks import cluster_table, compact_table
 from orderloom.sources import Topic, stream_topic
-from orderloom.streaming import StreamCounts, drain, land_and_print, land_orders
+from orderloom.streaming import (
+    StreamCounts,
+    compact_printed_landing,
+    drain,
+    land_and_print,
+    land_orders,
+    landed_totals,
+)
 
 STAGES = ("bronze", "silver", "quality", "gold", "quarantine", "all")
 
@@ -40,6 +48,16 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         stage.add_argument("--location", help="shared folder for the tables")
         stage.add_argument("--first-date", type=date.fromisoformat, default=config.FIRST_ORDER_DATE)
         stage.add_argument("--last-date", type=date.fromisoformat, default=config.LAST_ORDER_DATE)
+        stage.add_argument("--rejects", action="store_true", help="keep malformed lines in tables of their own")
+        stage.add_argument(
+            "--unique-references", action="store_true", help="stop at repeated customers, products or categories"
+        )
+    compaction = what.add_parser("compact", help="put small files of appended tables, or of a landing, together")
+    compaction.add_argument("--table", nargs="*", default=[], metavar="DATABASE.TABLE")
+    compaction.add_argument("--landing", help="folder of a stream that prints its matches")
+    clustering = what.add_parser("cluster", help="order a table by columns, rewriting only what overlaps")
+    clustering.add_argument("table", metavar="DATABASE.TABLE")
+    clustering.add_argument("columns", nargs="+")
     stream = what.add_parser("stream")
     stream.add_argument("--topic", required=True, help="topic name, or folder of JSON lines")
     stream.add_argument("--brokers", help="Kafka bootstrap servers; without them the topic is a folder")
@@ -70,6 +88,8 @@ def run_config(args: argparse.Namespace) -> config.RunConfig:
         table_format=args.table_format,
         first_order_date=args.first_date,
         last_order_date=args.last_date,
+        rejects=args.rejects,
+        unique_references=args.unique_references,
     )
 
 
@@ -109,14 +129,31 @@ def run_stream(spark, args: argparse.Namespace) -> StreamCounts:
     else:
         counts = drain(land_orders(*target, **shared), args.idle_seconds)
     print(f"landed {counts.matched}, rejected {counts.rejected}: {args.landing}")
+    if args.print_matches:
+        total = landed_totals(spark, args.landing)
+        print(f"in all runs: landed {total.matched}, rejected {total.rejected}, batches {total.batches}")
     return counts
 
 
+def run_upkeep(spark, args: argparse.Namespace) -> None:
+    if args.what == "cluster":
+        database, _, table = args.table.partition(".")
+        print(f"{args.table}: {cluster_table(spark, database, table, *args.columns)} parts rewritten")
+        return
+    for name in args.table:
+        database, _, table = name.partition(".")
+        print(f"{name}: {compact_table(spark, database, table)} parts put together")
+    if args.landing:
+        print(f"{args.landing}: {compact_printed_landing(spark, args.landing)} batches put together")
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     spark = build_session("orderloom", args.master)
     if args.what == "stream":
         run_stream(spark, args)
+    elif args.what in ("compact", "cluster"):
+        run_upkeep(spark, args)
     else:
         run_stage(spark, args)
 

@@ -89,6 +89,9 @@ class Layers:
 
 @dataclass(frozen=True)
 class RunConfig:
+    """One run. ``rejects`` and ``unique_references`` are off by default: then spoiled fields
+    become NULL and repeated references fan out, as plain scans and joins do."""
+
     raw_root: str
     datasets: tuple[RawDataset, ...] = field(default_factory=raw_datasets)
     layers: Layers = field(default_factory=Layers)
@@ -98,3 +101,5 @@ class RunConfig:
     min_order_amount: float = 0
     top_customers: int = TOP_CUSTOMERS
     run_name: str = "order_run"
+    rejects: bool = False
+    unique_references: bool = False

@@ -10,7 +10,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from orderloom.config import FIRST_ORDER_DATE, LAST_ORDER_DATE, Layers
-from orderloom.operators.quality import Between, InReference, NotNull, References, Suite, evaluate
+from orderloom.operators.quality import Between, InReference, NotNull, References, Suite, Unique, evaluate
 from orderloom.sinks.tables import append_table, create_database
 
 RUN_SCHEMA = (
@@ -35,6 +35,19 @@ def order_line_suite(
     )
 
 
+# The keys by which orders and lines meet other raw tables.
+REFERENCE_KEYS = {
+    "customers": "customer_id",
+    "products": "product_id",
+    "product_category_translation": "product_category_name",
+}
+
+
+def reference_suite(table: str) -> Suite:
+    """The key of a raw table that others are joined to occurs once."""
+    return Suite(f"{table}_suite", (Unique(REFERENCE_KEYS[table]),))
+
+
 @dataclass(frozen=True)
 class Verdict:
     """Outcome of one suite run. ``results`` holds one row per rule."""

@@ -13,7 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from orderloom.config import RunConfig
 from orderloom.operators.quality import failing_rows
 from orderloom.plans import bronze, gold, silver
-from orderloom.plans.quality_gate import Verdict, order_line_suite, record_run, run_suite
+from orderloom.plans.quality_gate import (
+    REFERENCE_KEYS,
+    Verdict,
+    order_line_suite,
+    record_run,
+    reference_suite,
+    run_suite,
+)
 from orderloom.sinks.tables import create_database, refresh_table
 from orderloom.sizing import size_shuffles
 from orderloom.sources.tables import read_table
@@ -34,7 +41,9 @@ class StagedRun:
 
 
 def ingest_bronze(spark: SparkSession, cfg: RunConfig) -> dict[str, int]:
-    counts = bronze.ingest_all(spark, cfg.raw_root, cfg.datasets, cfg.layers, cfg.table_format)
+    counts = bronze.ingest_all(
+        spark, cfg.raw_root, cfg.datasets, cfg.layers, cfg.table_format, rejects=cfg.rejects
+    )
     return {f"bronze.{table}": n for table, n in counts.items()}
 
 
@@ -56,6 +65,28 @@ def transform_silver(spark: SparkSession, cfg: RunConfig) -> dict[str, int]:
     return {"silver.orders": n}
 
 
+def check_references(spark: SparkSession, cfg: RunConfig) -> dict[str, Verdict]:
+    """Whether each table that lines are joined to has its key once; recorded as runs are."""
+    verdicts = {}
+    for table in REFERENCE_KEYS:
+        raw = read_table(spark, cfg.layers.bronze, table)
+        size_shuffles(spark, raw)
+        verdicts[table] = run_suite(raw, reference_suite(table), f"bronze_{table}", run_name=cfg.run_name)
+        record_run(spark, verdicts[table], cfg.layers, cfg.table_format)
+    return verdicts
+
+
+def quarantine_references(spark: SparkSession, cfg: RunConfig, verdicts: dict[str, Verdict]) -> dict[str, int]:
+    """Set the rows of repeated keys aside. Silver and gold stay as they are."""
+    database, rows = cfg.layers.quarantine, {}
+    create_database(spark, database, cfg.layers.database_path(database))
+    for table, verdict in verdicts.items():
+        if not verdict.success:
+            failing = failing_rows(read_table(spark, cfg.layers.bronze, table), reference_suite(table))
+            rows[f"quarantine.{table}"] = refresh_table(failing, database, table, table_format=cfg.table_format)
+    return rows
+
+
 def check_quality(spark: SparkSession, cfg: RunConfig) -> Verdict:
     suite = order_line_suite(cfg.first_order_date, cfg.last_order_date, cfg.min_order_amount)
     lines = read_table(spark, cfg.layers.silver, "orders")
@@ -127,8 +158,16 @@ def quarantine(spark: SparkSession, cfg: RunConfig) -> dict[str, int]:
 
 def run_stages(spark: SparkSession, cfg: RunConfig) -> StagedRun:
     """All stages. Gold is built only on an explicit success; either branch ends
-    in the same summary."""
-    rows = {**ingest_bronze(spark, cfg), **transform_silver(spark, cfg)}
+    in the same summary. With ``unique_references`` a repeated key of a joined table ends
+    the run in quarantine before anything is joined to it."""
+    rows = ingest_bronze(spark, cfg)
+    if cfg.unique_references:
+        verdicts = check_references(spark, cfg)
+        broken = [v for v in verdicts.values() if not v.success]
+        if broken:
+            rows.update(quarantine_references(spark, cfg, verdicts))
+            return StagedRun("quarantine", broken[0], rows)
+    rows.update(transform_silver(spark, cfg))
     verdict = check_quality(spark, cfg)
     branch = "gold" if verdict.success is True else "quarantine"
     rows.update(build_gold(spark, cfg) if branch == "gold" else quarantine(spark, cfg))

@@ -5,6 +5,7 @@ from orderloom.sinks.tables import (
     create_database,
     drop_table,
     refresh_table,
+    refresh_with_rejects,
     remove_old_versions,
 )
 from orderloom.sinks.topic import publish
@@ -17,5 +18,6 @@ __all__ = [
     "drop_table",
     "publish",
     "refresh_table",
+    "refresh_with_rejects",
     "remove_old_versions",
 ]

@@ -51,6 +51,23 @@ def refresh_table(
     return df.sparkSession.table(name).count()
 
 
+def refresh_with_rejects(
+    df: DataFrame, database: str, table: str, record: str, kept_with: tuple[str, ...], *, keep: timedelta = KEEP_OLD
+) -> tuple[int, int]:
+    """Refresh a Parquet table with the rows whose ``record`` is NULL, and ``<table>_rejects`` with
+    that text of all others and the columns ``kept_with``, from one pass over the rows."""
+    spark, others = df.sparkSession, f"{table}_rejects"
+    return versions.refresh_split(
+        VersionedTable(spark, database, table),
+        VersionedTable(spark, database, others),
+        df,
+        df[record].isNull(),
+        tuple(c for c in df.columns if c != record),
+        (record, *kept_with),
+        keep,
+    )
+
+
 def append_table(
     df: DataFrame, database: str, table: str, table_format: str = "parquet", *, most_parts: int = MOST_PARTS
 ) -> None:
@@ -91,4 +108,4 @@ def drop_table(spark: SparkSession, database: str, table: str) -> None:
     """Drop a Parquet table together with all its files."""
     gone = VersionedTable(spark, database, table)
     spark.sql(f"DROP VIEW IF EXISTS {gone.name}")
-    delete_path(spark, gone.root)
+    delete_path(spark, gone.path(gone.folder))

@@ -21,7 +21,7 @@ import zlib
 from dataclasses import asdict, dataclass, field, replace
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.session import delete_path, list_folder, path_bytes
@@ -40,7 +40,7 @@ MOST_PARTS = 50
 
 _STATE = "orderloom.parts"
 _PROPERTY_LENGTH = 3500
-_PART = "part"
+_PART, _SPLIT = "part", "belongs"
 
 
 def quoted(name: str) -> str:
@@ -49,7 +49,7 @@ def quoted(name: str) -> str:
 
 @dataclass(frozen=True)
 class Part:
-    """A folder below the table's own, with the range of the first clustering column as text."""
+    """A folder below the database's, with the range of the first clustering column as text."""
 
     path: str
     rows: int
@@ -61,12 +61,18 @@ class Part:
 @dataclass(frozen=True)
 class State:
     """What a table consists of. ``retired`` names parts of earlier states, with the time of
-    their replacement in seconds."""
+    their replacement in seconds. ``shares`` names a table of the same database that was
+    written in the same job, to the same folders."""
 
     parts: tuple[Part, ...] = ()
     retired: tuple[tuple[str, float], ...] = ()
     columns: tuple[str, ...] = ()
     key: str | None = None
+    shares: str | None = None
+
+    @property
+    def paths(self) -> set[str]:
+        return {*(p.path for p in self.parts), *(path for path, _ in self.retired)}
 
     def to_text(self) -> str:
         # Hexadecimal, because Spark blots out properties in whose text it sees words such as "url".
@@ -76,29 +82,38 @@ class State:
     def from_text(cls, text: str) -> "State":
         raw = json.loads(zlib.decompress(bytes.fromhex(text)))
         parts = tuple(Part(**p) for p in raw["parts"])
-        return cls(parts, tuple((p, at) for p, at in raw["retired"]), tuple(raw["columns"]), raw["key"])
+        retired = tuple((path, at) for path, at in raw["retired"])
+        return cls(parts, retired, tuple(raw["columns"]), raw["key"], raw["shares"])
 
 
 @dataclass(frozen=True)
 class VersionedTable:
-    """A table by its name; ``root`` is the folder of its parts."""
+    """A table by its name; ``location`` is the folder of its database."""
 
     spark: SparkSession
     database: str
     table: str
-    root: str = field(default="")
+    location: str = field(default="")
 
     def __post_init__(self) -> None:
-        if not self.root:
+        if not self.location:
             location = self.spark.catalog.getDatabase(self.database).locationUri.rstrip("/")
-            object.__setattr__(self, "root", f"{location}/{self.table}-parts")
+            object.__setattr__(self, "location", location)
+
+    @property
+    def folder(self) -> str:
+        """Where the table's jobs write, below the database's folder."""
+        return f"{self.table}-parts"
+
+    def new_path(self) -> str:
+        return f"{self.folder}/{uuid.uuid4().hex}"
 
     @property
     def name(self) -> str:
         return f"{self.database}.{self.table}"
 
     def path(self, part: Part | str) -> str:
-        return f"{self.root}/{part if isinstance(part, str) else part.path}"
+        return f"{self.location}/{part if isinstance(part, str) else part.path}"
 
     def state(self) -> State | None:
         """The current state; None where there is no such table, or one of another kind."""
@@ -126,7 +141,7 @@ class VersionedTable:
             self.spark.sql(f"DROP TABLE {self.name}")
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.name} TBLPROPERTIES ({properties})"
-            f" AS SELECT {columns} FROM parquet.`{self.root}/{paths}`"
+            f" AS SELECT {columns} FROM parquet.`{self.location}/{paths}`"
         )
 
     def replace_parts(self, state: State, old: tuple[Part, ...], new: tuple[Part, ...], **changes) -> State:
@@ -155,10 +170,18 @@ class VersionedTable:
         left = tuple(r for r in state.retired if r[1] > limit)
         if left != state.retired:
             self.switch(replace(state, retired=left))
-        used = {p.split("/")[0] for p in (*(p.path for p in state.parts), *(p for p, _ in left))}
-        for name, changed in list_folder(self.spark, self.root):
-            if name not in used and changed <= limit:
-                delete_path(self.spark, f"{self.root}/{name}")
+        used = replace(state, retired=left).paths
+        if state.shares:
+            other = sibling(self, state.shares).state()
+            used |= other.paths if other else set()
+        folders = {path.split("/")[1] for path in used if path.startswith(f"{self.folder}/")}
+        for name, changed in list_folder(self.spark, self.path(self.folder)):
+            if name not in folders and changed <= limit:
+                delete_path(self.spark, self.path(f"{self.folder}/{name}"))
+
+
+def sibling(table: VersionedTable, name: str) -> VersionedTable:
+    return VersionedTable(table.spark, table.database, name, table.location)
 
 
 def in_key_order(df: DataFrame, columns: tuple[str, ...], partitions: int | None = None, parts: int | None = None) -> DataFrame:
@@ -182,14 +205,14 @@ def in_key_order(df: DataFrame, columns: tuple[str, ...], partitions: int | None
 
 def _written(table: VersionedTable, df: DataFrame) -> tuple[Part, ...]:
     """One part with the rows of ``df``; their number is observed by the writing tasks."""
-    folder, written = uuid.uuid4().hex, Observation()
-    df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(table.path(folder))
-    return (Part(folder, written.get["rows"], path_bytes(table.spark, table.path(folder))),)
+    path, written = table.new_path(), Observation()
+    df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(table.path(path))
+    return (Part(path, written.get["rows"], path_bytes(table.spark, table.path(path))),)
 
 
 def _written_in_order(table: VersionedTable, ordered: DataFrame, key: str) -> tuple[Part, ...]:
     """The parts of rows in key order, each with its range of the first key."""
-    spark, folder = table.spark, uuid.uuid4().hex
+    spark, folder = table.spark, table.new_path()
     ordered.write.partitionBy(_PART).parquet(table.path(folder))
     rows = []
     if list_folder(spark, table.path(folder)):
@@ -220,6 +243,36 @@ def refresh(table: VersionedTable, df: DataFrame, cluster_by: tuple[str, ...] =
     return sum(p.rows for p in new)
 
 
+def refresh_split(
+    table: VersionedTable,
+    others: VersionedTable,
+    df: DataFrame,
+    belongs: Column,
+    columns: tuple[str, ...],
+    other_columns: tuple[str, ...],
+    keep: timedelta = KEEP_OLD,
+) -> tuple[int, int]:
+    """Refresh two tables in one pass over ``df``: ``table`` with the rows for which
+    ``belongs`` holds, ``others`` with the rest; the number of rows of each."""
+    spark, folder, written = table.spark, table.new_path(), Observation()
+    marked = df.withColumn(_SPLIT, F.coalesce(belongs, F.lit(False)))
+    counts = (F.count_if(_SPLIT).alias("kept"), F.count_if(~F.col(_SPLIT)).alias("rest"))
+    marked.observe(written, *counts).write.partitionBy(_SPLIT).parquet(table.path(folder))
+    for target, other, side, name, chosen in (
+        (others, table, "false", "rest", other_columns),
+        (table, others, "true", "kept", columns),
+    ):
+        path, rows = f"{folder}/{_SPLIT}={side}", written.get[name]
+        if not rows:
+            df.limit(0).write.parquet(table.path(path))
+        part = Part(path, rows, path_bytes(spark, table.path(path)))
+        state = target.state() or State()
+        target.replace_parts(state, state.parts, (part,), columns=chosen, key=None, shares=other.table)
+    for target in (table, others):
+        target.remove_old(keep)
+    return written.get["kept"], written.get["rest"]
+
+
 def append(table: VersionedTable, df: DataFrame, most_parts: int = MOST_PARTS, keep: timedelta = KEEP_OLD) -> int:
     """Add rows with the table's columns; the number of rows. Once the table has more than
     ``most_parts`` parts, small ones are put together."""

@@ -1,4 +1,4 @@
-from orderloom.sources.files import read_landing, read_raw_csv
+from orderloom.sources.files import read_landing, read_raw_csv, read_raw_csv_with_rejects
 from orderloom.sources.tables import list_columns, preview, read_table
 from orderloom.sources.topic import Topic, read_topic, stream_topic
 
@@ -8,6 +8,7 @@ __all__ = [
     "preview",
     "read_landing",
     "read_raw_csv",
+    "read_raw_csv_with_rejects",
     "read_table",
     "read_topic",
     "stream_topic",

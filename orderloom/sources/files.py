@@ -2,24 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from orderloom.config import RawDataset
 from orderloom.functions.events import EVENT_SCHEMA
 
 
+# The text of a line that does not fit its dataset.
+REJECTED = "rejected_line"
+AUDIT_COLUMNS = ("ingestion_timestamp", "source_file")
+
+
+def _reader(spark: SparkSession, dataset: RawDataset) -> DataFrameReader:
+    reader = spark.read.option("header", True).options(**dataset.options)
+    return reader.option("multiLine", True) if dataset.multi_line else reader
+
+
 def read_raw_csv(spark: SparkSession, raw_root: str, dataset: RawDataset) -> DataFrame:
     """CSV with a header. Line breaks inside quotes split a record unless the
-    dataset asks for ``multi_line``, as is Spark's default."""
-    reader = spark.read.option("header", True).options(**dataset.options)
-    if dataset.multi_line:
-        reader = reader.option("multiLine", True)
+    dataset asks for ``multi_line``, as is Spark's default. Fields that are missing or do
+    not fit their type are NULL."""
+    path, reader = f"{raw_root.rstrip('/')}/{dataset.file_name}", _reader(spark, dataset)
+    if dataset.schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    return reader.schema(dataset.schema).csv(path)
+
+
+def read_raw_csv_with_rejects(spark: SparkSession, raw_root: str, dataset: RawDataset) -> DataFrame:
+    """The same records with one more column, ``rejected_line``: the text of a record with too
+    few or too many fields, or with one that does not fit its type, else NULL. Without a
+    declared schema the types are inferred first, from all records."""
+    path = f"{raw_root.rstrip('/')}/{dataset.file_name}"
     if dataset.schema is None:
-        reader = reader.option("inferSchema", True)
+        schema = read_raw_csv(spark, raw_root, dataset).schema
     else:
-        reader = reader.schema(dataset.schema)
-    return reader.csv(f"{raw_root.rstrip('/')}/{dataset.file_name}")
+        schema = StructType.fromDDL(dataset.schema)
+    reader = _reader(spark, dataset).options(mode="PERMISSIVE", columnNameOfCorruptRecord=REJECTED)
+    return reader.schema(StructType([*schema, StructField(REJECTED, StringType())])).csv(path)
 
 
 def with_audit_columns(df: DataFrame) -> DataFrame:

@@ -52,6 +52,23 @@ def customers_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers(spark, sf_dir).where("customer_id % 50 <> 0")
 
 
+def doubled_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A customer list in which some customers occur twice, and one has lost its key twice."""
+    whole = customers(spark, sf_dir)
+    twice = whole.where("customer_id % 25 = 0").withColumn("customer_unique_id", F.lit("moved"))
+    keyless = whole.where("customer_id % 60 = 1").withColumn("customer_id", F.lit(None).cast("bigint"))
+    return whole.unionByName(twice).unionByName(keyless)
+
+
+def products_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return products(spark, sf_dir).where("product_id % 40 <> 0")
+
+
+def paid_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order numbers as text, as another system might list them."""
+    return order_payments(spark, sf_dir).selectExpr("CAST(order_id AS STRING) AS paid_order")
+
+
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey AS order_id",
@@ -130,6 +147,20 @@ RAW_SCHEMAS = {
 }
 
 
+def damaged_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders as lines of CSV text without a header; some lack fields, some have one
+    too many, and some have text where a number belongs."""
+    fields = ("order_id", "customer_id", "order_status", F.date_format("order_purchase_timestamp", "yyyy-MM-dd HH:mm:ss"))
+    whole = F.concat_ws(",", *fields)
+    return orders(spark, sf_dir).select(
+        F.when(F.col("order_id") % 50 == 0, F.concat_ws(",", *fields[:2]))
+        .when(F.col("order_id") % 51 == 0, F.concat(whole, F.lit(",more")))
+        .when(F.col("order_id") % 53 == 0, F.concat_ws(",", "order_id", F.lit("nobody"), *fields[2:]))
+        .otherwise(whole)
+        .alias("value")
+    )
+
+
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event table with the fields of an order event; times are UTC."""
     return table(spark, sf_dir, "events").selectExpr(

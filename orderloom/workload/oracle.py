@@ -17,15 +17,19 @@ _CTES = {
         "SELECT c_custkey AS customer_id, concat(c_nationkey, '-', c_mktsegment) AS customer_unique_id"
         " FROM customer"
     ),
+    "src_doubled": (
+        "SELECT * FROM src_customers UNION ALL SELECT customer_id, 'moved' FROM src_customers WHERE customer_id % 25 = 0"
+        " UNION ALL SELECT NULL, customer_unique_id FROM src_customers WHERE customer_id % 60 = 1"
+    ),
     "src_gapped": "SELECT * FROM src_customers WHERE customer_id % 50 <> 0",
     "src_items": (
-        "SELECT l_orderkey AS order_id, l_partkey AS product_id,"
+        "SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id,"
         " CAST(l_extendedprice AS DECIMAL(12,2)) AS price,"
         " CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2))"
         " AS DECIMAL(18,4)) AS freight_value FROM lineitem"
     ),
     "src_payments": (
-        "SELECT l_orderkey AS order_id, CAST(CAST(l_extendedprice AS DECIMAL(12,2)) *"
+        "SELECT l_orderkey AS order_id, l_linenumber AS payment_sequential, CAST(CAST(l_extendedprice AS DECIMAL(12,2)) *"
         " (CAST(1 AS DECIMAL(4,2)) - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4))"
         " AS payment_value FROM lineitem WHERE l_returnflag <> 'R'"
     ),
@@ -98,6 +102,20 @@ def _not_in(customers: str) -> str:
     return f"customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM {customers})"
 
 
+def _fails(inside: str) -> str:
+    """Whether a line breaks a rule of the suite."""
+    return (
+        f"(order_id IS NULL OR customer_id IS NULL OR order_amount <= 0 OR NOT ({inside})"
+        f" OR {_not_in('src_customers')})"
+    )
+
+
+def _repeated(keys: str, frame: str) -> str:
+    """Keys without NULL that several rows share."""
+    present = " AND ".join(f"{key} IS NOT NULL" for key in keys.split(", "))
+    return f"SELECT {keys} FROM {frame} WHERE {present} GROUP BY {keys} HAVING count(*) > 1"
+
+
 def _counts(pairs: list[tuple[str, str]]) -> str:
     return " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {frame}" for name, frame in pairs)
 
@@ -114,36 +132,58 @@ _RAW_FRAMES = [
     ("product_category_translation", "src_translation"),
 ]
 
-# The columns each ingested table has, with the declared types.
+# The columns each ingested table has.
 _CATALOG = {
-    "orders": "order_id bigint, customer_id bigint, order_status string, order_purchase_timestamp timestamp",
-    "customers": "customer_id bigint, customer_unique_id string",
-    "products": "product_id bigint, product_category_name string",
-    "order_items": "order_id bigint, order_item_id int, product_id bigint, price double, freight_value double",
-    "order_payments": "order_id bigint, payment_sequential int, payment_value double",
-    "order_reviews": "conv_id bigint, turn bigint, role string, text string",
-    "sellers": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
-    "geolocation": "n_nationkey int, n_name string, n_regionkey int",
-    "product_category_translation": "product_category_name string, product_category_name_english string",
+    "orders": "order_id, customer_id, order_status, order_purchase_timestamp",
+    "customers": "customer_id, customer_unique_id",
+    "products": "product_id, product_category_name",
+    "order_items": "order_id, order_item_id, product_id, price, freight_value",
+    "order_payments": "order_id, payment_sequential, payment_value",
+    "order_reviews": "conv_id, turn, role, text",
+    "sellers": "s_suppkey, s_name, s_nationkey, s_acctbal",
+    "geolocation": "n_nationkey, n_name, n_regionkey",
+    "product_category_translation": "product_category_name, product_category_name_english",
 }
 
 
 def _catalog() -> str:
-    audit = "ingestion_timestamp timestamp, source_file string"
+    """Each column with the type that the given tables have for it, in Spark's words. Money is
+    exact in the SQL and double in the raw files."""
+    frames = dict(_RAW_FRAMES)
     rows = []
     for table, columns in _CATALOG.items():
-        for column in f"{columns}, {audit}".split(", "):
-            name, kind = column.split(" ")
-            rows.append(f"('{table}', '{name}', '{kind}')")
+        names = columns.split(", ")
+        listed = ", ".join(f"any_value(typeof({name}))" for name in names)
+        quoted = ", ".join(f"'{name}'" for name in names)
+        rows.append(
+            f"SELECT '{table}' AS table_name, unnest([{quoted}]) AS column_name, unnest([{listed}]) AS kind"
+            f" FROM {frames[table]}"
+        )
+        for name, kind in (("ingestion_timestamp", "TIMESTAMP"), ("source_file", "VARCHAR")):
+            rows.append(f"SELECT '{table}', '{name}', '{kind}'")
     return (
-        "SELECT * FROM (VALUES " + ", ".join(rows) + ") t(table_name, column_name, data_type)"
+        "SELECT table_name, column_name, CASE WHEN kind LIKE 'DECIMAL%' THEN 'double' WHEN kind = 'VARCHAR' THEN 'string'"
+        " WHEN kind = 'INTEGER' THEN 'int' ELSE lower(kind) END AS data_type"
+        " FROM (" + " UNION ALL ".join(rows) + ") t"
     )
 
 
-def _staged(branch: str, tail: list[tuple[str, str]]) -> str:
-    pairs = [(f"bronze.{name}", frame) for name, frame in _RAW_FRAMES] + [("silver.orders", "silver")] + tail
-    success = "true" if branch == "gold" else "false"
-    return f"SELECT table_name, row_count, '{branch}' AS branch, {success} AS success FROM ({_counts(pairs)}) t"
+def _staged(inside: str) -> str:
+    """The tables of a whole run. Whether it succeeds, which branch it takes and so which
+    tables it writes follow from the rules on the lines."""
+    always = [(f"bronze.{name}", frame) for name, frame in _RAW_FRAMES] + [("silver.orders", "silver")]
+    in_gold = [
+        ("gold.daily_revenue_by_category", "revenue"),
+        ("gold.top10_customers_ltv", f"({_TOP}) top"),
+        ("gold.rolling_7day_order_volume", "daily"),
+    ]
+    in_quarantine = [("quarantine.orders", f"(SELECT * FROM silver WHERE {_fails(inside)}) bad")]
+    return (
+        f"SELECT table_name, row_count, CASE WHEN success THEN 'gold' ELSE 'quarantine' END AS branch, success FROM"
+        f" (SELECT count(*) FILTER (WHERE {_fails(inside)}) = 0 AS success FROM silver) v,"
+        f" (SELECT *, NULL AS needed FROM ({_counts(always)}) a UNION ALL SELECT *, true FROM ({_counts(in_gold)}) g"
+        f" UNION ALL SELECT *, false FROM ({_counts(in_quarantine)}) q) t WHERE needed IS NULL OR needed = success"
+    )
 
 
 _BROKEN = (
@@ -257,16 +297,94 @@ _BODIES = {
         " WHEN event_id % 51 = 0 THEN 'no amount' ELSE 'kept' END AS reason FROM src_events"
         " WHERE event_id % 50 = 0 OR event_id % 51 = 0 OR order_amount > 50"
     ),
-    "staged_run_gold": _staged(
-        "gold",
-        [
-            ("gold.daily_revenue_by_category", "revenue"),
-            ("gold.top10_customers_ltv", f"({_TOP}) top"),
-            ("gold.rolling_7day_order_volume", "daily"),
-        ],
+    "staged_run_gold": _staged(_WIDE),
+    "staged_run_quarantine": _staged(_NARROW),
+    "staged_gold_tables": (
+        "SELECT 'daily_revenue_by_category' AS table_name, order_date, product_category_name_english AS label,"
+        " CAST(revenue AS DOUBLE) AS value FROM revenue"
+        f" UNION ALL SELECT 'top10_customers_ltv', NULL, customer_unique_id, lifetime_value FROM ({_TOP}) top"
+        " UNION ALL SELECT 'rolling_7day_order_volume', order_date, NULL, avg(order_count) OVER"
+        " (ORDER BY order_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) FROM daily"
+    ),
+    "staged_quarantined_lines": (
+        f"SELECT {_SILVER_OUT}, 'between:order_date' AS broken_rules FROM silver WHERE NOT ({_NARROW})"
+    ),
+    "staged_run_fanout": (
+        "SELECT table_name, row_count, CASE WHEN success THEN 'gold' ELSE 'quarantine' END AS branch, success FROM"
+        f" (SELECT count(*) = 0 AS success FROM ({_repeated('customer_id', 'src_doubled')})) v,"
+        f" ({_counts([(f'bronze.{n}', 'src_doubled' if n == 'customers' else f) for n, f in _RAW_FRAMES])}"
+        " UNION ALL SELECT 'quarantine.customers', count(*) FROM src_doubled"
+        f" WHERE customer_id IN ({_repeated('customer_id', 'src_doubled')})) t"
+    ),
+    "bronze_rejects": (
+        "SELECT order_id, CASE WHEN line IS NULL THEN customer_id END AS customer_id,"
+        " CASE WHEN line IS NULL THEN order_status END AS order_status,"
+        " CASE WHEN line IS NULL THEN CAST(order_purchase_timestamp AS DATE) END AS order_date, line AS rejected_line,"
+        " count(*) FILTER (WHERE line IS NULL) OVER () AS kept, count(line) OVER () AS rejected FROM"
+        " (SELECT *, CASE WHEN order_id % 50 = 0 THEN concat(order_id, ',', customer_id)"
+        " WHEN order_id % 51 = 0 THEN concat(order_id, ',', customer_id, ',', order_status, ',', day, ',more')"
+        " WHEN order_id % 53 = 0 THEN concat(order_id, ',nobody,', order_status, ',', day) END AS line FROM"
+        " (SELECT *, strftime(order_purchase_timestamp, '%Y-%m-%d %H:%M:%S') AS day FROM src_orders))"
+    ),
+    "table_appended": (
+        "SELECT order_status, count(*) AS order_count, count(DISTINCT order_id) AS distinct_orders,"
+        " min(CAST(order_purchase_timestamp AS DATE)) AS first_date, max(CAST(order_purchase_timestamp AS DATE)) AS last_date"
+        " FROM src_orders GROUP BY order_status"
+    ),
+    "table_reclustered": (
+        "SELECT order_id, customer_id, order_status, CAST(order_purchase_timestamp AS DATE) AS order_date,"
+        " CAST(0 AS BIGINT) AS rewritten_again FROM src_orders"
+    ),
+    "dq_unique": " UNION ALL ".join(
+        (
+            _rule("customers_suite", "bronze_customers", 1, "not_null", "customer_id", "", "src_doubled", "customer_id IS NULL"),
+            _rule(
+                "customers_suite", "bronze_customers", 2, "unique", "customer_id", "", "src_doubled",
+                f"customer_id IN ({_repeated('customer_id', 'src_doubled')})",
+            ),
+            _rule(
+                "items_suite", "bronze_order_items", 1, "unique", "order_id,order_item_id", "", "src_items",
+                f"(order_id, order_item_id) IN ({_repeated('order_id, order_item_id', 'src_items')})",
+            ),
+            _rule(
+                "items_suite", "bronze_order_items", 2, "unique", "order_id,order_item_id,product_id,price", "", "src_items",
+                f"(order_id, order_item_id, product_id, price) IN"
+                f" ({_repeated('order_id, order_item_id, product_id, price', 'src_items')})",
+            ),
+            _rule("items_suite", "bronze_order_items", 3, "not_null", "price", "", "src_items", "price IS NULL"),
+        )
+    ),
+    "dq_unique_failing": (
+        "SELECT customer_id, customer_unique_id, 'unique:customer_id' AS broken_rules FROM src_doubled"
+        f" WHERE customer_id IN ({_repeated('customer_id', 'src_doubled')})"
+    ),
+    "dq_repeated_lines": (
+        "SELECT order_id, order_item_id, count(*) AS row_count FROM src_items GROUP BY ALL HAVING count(*) > 1"
+    ),
+    "dq_references": " UNION ALL ".join(
+        _rule("lines_suite", "silver_orders", nr, rule, column, detail, "silver", broken)
+        for nr, (rule, column, detail, broken) in enumerate(
+            (
+                ("in_reference", "customer_id", "customers.customer_id", _not_in("src_gapped")),
+                ("between", "order_date", ">= 1996-01-01 and <= 1998-12-31", f"NOT ({_NARROW})"),
+                ("in_reference", "product_id", "products.product_id",
+                 "product_id IS NOT NULL AND product_id NOT IN (SELECT product_id FROM src_products WHERE product_id % 40 <> 0)"),
+                ("in_reference", "order_id", "paid.paid_order", "order_id NOT IN (SELECT order_id FROM src_payments)"),
+                ("unique", "order_id,product_id", "", f"(order_id, product_id) IN ({_repeated('order_id, product_id', 'silver')})"),
+            ),
+            1,
+        )
+    ),
+    "stream_totals": (
+        "SELECT customer_id, count(*) AS landed, any_value(matched) AS matched, any_value(rejected) AS rejected FROM"
+        " (SELECT *, count(*) FILTER (WHERE good) OVER () AS matched, count(*) FILTER (WHERE bad) OVER () AS rejected FROM"
+        " (SELECT *, event_id % 50 = 0 OR event_id % 51 = 0 AS bad, NOT bad AND order_amount > 50 AS good FROM src_events))"
+        " WHERE good GROUP BY customer_id"
     ),
-    "staged_run_quarantine": _staged(
-        "quarantine", [("quarantine.orders", f"(SELECT * FROM silver WHERE NOT ({_NARROW})) bad")]
+    "stream_compacted": (
+        "SELECT product_id, output FROM (SELECT *, event_id % 50 = 0 OR event_id % 51 = 0 AS bad FROM src_events),"
+        " (VALUES ('landing'), ('console'), ('dead')) o(output)"
+        " WHERE CASE WHEN output = 'dead' THEN bad ELSE NOT bad AND order_amount > 50 END"
     ),
 }
 

@@ -14,22 +14,31 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.config import Layers, RunConfig, raw_datasets
+from orderloom.config import Layers, RawDataset, RunConfig, raw_datasets
 from orderloom.functions import event_json, exact_total, parse_event, rounded_amount, utc_text
 from orderloom.operators.quality import (
     Between,
     InReference,
     NotNull,
     Suite,
+    Unique,
     evaluate,
     failing_rows,
     overall,
+    repeated_keys,
     unknown_keys,
 )
 from orderloom.plans import bronze, gold, quality_gate, silver
 from orderloom.plans.staged_run import run_stages
 from orderloom.session import apply_settings, scratch_path
-from orderloom.sinks import create_database, publish, refresh_table
+from orderloom.sinks import (
+    append_table,
+    cluster_table,
+    compact_table,
+    create_database,
+    publish,
+    refresh_table,
+)
 from orderloom.sizing import restore_shuffles
 from orderloom.sources import (
     Topic,
@@ -39,7 +48,16 @@ from orderloom.sources import (
     read_table,
     stream_topic,
 )
-from orderloom.streaming import StreamCounts, drain, land_and_print, land_orders, read_batches, read_printed
+from orderloom.streaming import (
+    StreamCounts,
+    compact_printed_landing,
+    drain,
+    land_and_print,
+    land_orders,
+    landed_totals,
+    read_batches,
+    read_printed,
+)
 from orderloom.workload import mapping as src
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,6 +161,63 @@ def table_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, layers.gold, "orders")
 
 
+@query
+def bronze_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged lines of orders: what became a row, and what was set aside as it came."""
+    root, layers = scratch_path(spark, "raw"), fresh_layers(spark)
+    src.damaged_order_lines(spark, sf_dir).write.text(f"{root}/orders.csv")
+    dataset = RawDataset("orders", "orders.csv", src.RAW_SCHEMAS["orders"], options={"header": "false"})
+    counts = bronze.ingest_all(spark, root, (dataset,), layers, rejects=True)
+    kept = read_table(spark, layers.bronze, "orders").select(
+        "order_id", "customer_id", "order_status", F.to_date("order_purchase_timestamp").alias("order_date"),
+        F.lit(None).cast("string").alias("rejected_line"),
+    )
+    rejected = read_table(spark, layers.bronze, "orders_rejects").select(
+        F.substring_index("rejected_line", ",", 1).cast("bigint").alias("order_id"),
+        F.lit(None).cast("bigint").alias("customer_id"),
+        F.lit(None).cast("string").alias("order_status"),
+        F.lit(None).cast("date").alias("order_date"),
+        "rejected_line",
+    )
+    return kept.unionByName(rejected).withColumns(
+        {name: F.lit(counts[table]).cast("long") for name, table in (("kept", "orders"), ("rejected", "orders_rejects"))}
+    )
+
+
+@query
+def table_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that grew by seven appends and was put together on the way."""
+    layers = fresh_layers(spark)
+    create_database(spark, layers.gold, layers.database_path(layers.gold))
+    orders = silver.clean_orders(src.orders(spark, sf_dir))
+    refresh_table(orders.limit(0), layers.gold, "orders")
+    for piece in range(7):
+        day = orders.where(F.pmod(F.dayofyear("order_date"), F.lit(7)) == piece)
+        append_table(day, layers.gold, "orders", most_parts=4)
+    compact_table(spark, layers.gold, "orders")
+    table = read_table(spark, layers.gold, "orders")
+    return table.groupBy("order_status").agg(
+        F.count(F.lit(1)).alias("order_count"),
+        F.countDistinct("order_id").alias("distinct_orders"),
+        F.min("order_date").alias("first_date"),
+        F.max("order_date").alias("last_date"),
+    )
+
+
+@query
+def table_reclustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A clustered table, to which late orders are added and which is then clustered again."""
+    layers = fresh_layers(spark)
+    create_database(spark, layers.gold, layers.database_path(layers.gold))
+    orders = silver.clean_orders(src.orders(spark, sf_dir))
+    late = F.col("order_id") % 100 == 0
+    refresh_table(orders.where(~late), layers.gold, "orders", cluster_by=("order_date",))
+    append_table(orders.where(late), layers.gold, "orders")
+    cluster_table(spark, layers.gold, "orders", "order_date")
+    again = cluster_table(spark, layers.gold, "orders", "order_date")
+    return read_table(spark, layers.gold, "orders").withColumn("rewritten_again", F.lit(again).cast("long"))
+
+
 # ---- order lines
 
 
@@ -285,6 +360,54 @@ def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return failing.withColumn("broken_rules", F.array_join("broken_rules", ","))
 
 
+@query
+def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules on single and compound keys, of which some are repeated."""
+    people = Suite("customers_suite", (NotNull("customer_id"), Unique("customer_id")))
+    lines = Suite(
+        "items_suite",
+        (Unique("order_id", "order_item_id"), Unique("order_id", "order_item_id", "product_id", "price"), NotNull("price")),
+    )
+    results = evaluate(src.doubled_customers(spark, sf_dir), people, "bronze_customers")
+    return results.unionByName(evaluate(src.order_items(spark, sf_dir), lines, "bronze_order_items"))
+
+
+@query
+def dq_unique_failing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers that are there twice, with all their rows."""
+    suite = quality_gate.reference_suite("customers")
+    failing = failing_rows(src.doubled_customers(spark, sf_dir), suite)
+    return failing.withColumn("broken_rules", F.array_join("broken_rules", ","))
+
+
+@query
+def dq_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compound keys that several lines share, each with their number."""
+    return repeated_keys(src.order_items(spark, sf_dir), Unique("order_id", "order_item_id"))
+
+
+@query
+def dq_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three references and a uniqueness rule, in one pass over the lines. One reference
+    lists its keys as text."""
+    suite = Suite(
+        "lines_suite",
+        (
+            InReference("customer_id", "customers", "customer_id"),
+            Between("order_date", *NARROW),
+            InReference("product_id", "products", "product_id"),
+            InReference("order_id", "paid", "paid_order"),
+            Unique("order_id", "product_id"),
+        ),
+    )
+    references = {
+        "customers": src.customers_with_gaps(spark, sf_dir),
+        "products": src.products_with_gaps(spark, sf_dir),
+        "paid": src.paid_orders(spark, sf_dir),
+    }
+    return evaluate(lines(spark, sf_dir), suite, "silver_orders", references)
+
+
 # ---- event stream
 
 
@@ -376,6 +499,38 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landing(spark, out)
 
 
+@query
+def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over one checkpoint, and what their batches have counted in all."""
+    events = damaged_event_text(spark, sf_dir)
+    topic = Topic(scratch_path(spark, "new_orders"))
+    out = scratch_path(spark, "landing")
+    for piece in range(3):
+        publish(events.where(F.pmod(F.xxhash64("value"), F.lit(3)) == piece), topic)
+        drain(land_and_print(stream_topic(spark, topic), out, f"{out}-checkpoint"))
+    total = landed_totals(spark, out)
+    return read_batches(spark, out).groupBy("customer_id").agg(F.count(F.lit(1)).alias("landed")).withColumns(
+        {"matched": F.lit(total.matched).cast("long"), "rejected": F.lit(total.rejected).cast("long")}
+    )
+
+
+@query
+def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small batches, put together in place: all their outputs, as they were."""
+    topic = published(spark, damaged_event_text(spark, sf_dir).repartition(4), batch_limit=1)
+    out = scratch_path(spark, "landing")
+    drain(land_and_print(stream_topic(spark, topic), out, f"{out}-checkpoint"))
+    compact_printed_landing(spark, out)
+    product = F.regexp_extract("value", r"prod_\d+", 0).alias("product_id")
+    outputs = {
+        "landing": read_batches(spark, out).select("product_id"),
+        "console": read_printed(spark, out).select(product),
+        "dead": read_batches(spark, out, "dead_letter").select(product),
+    }
+    rows = [frame.select("product_id", F.lit(name).alias("output")) for name, frame in outputs.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 @query
 def stream_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = published(spark, damaged_event_text(spark, sf_dir))
@@ -391,22 +546,62 @@ def stream_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- all stages
 
 
-def staged(spark: SparkSession, sf_dir: str, bounds: tuple[date, date]) -> DataFrame:
-    cfg = RunConfig(
+def run_config(spark: SparkSession, sf_dir: str, bounds: tuple[date, date], **settings) -> RunConfig:
+    return RunConfig(
         raw_root=write_raw(spark, sf_dir, *src.RAW),
         datasets=raw_datasets(schemas=src.RAW_SCHEMAS, multi_line=("order_reviews",)),
         layers=fresh_layers(spark),
         first_order_date=bounds[0],
         last_order_date=bounds[1],
+        **settings,
     )
-    return run_stages(spark, cfg).summary(spark)
 
 
 @query
 def staged_run_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staged(spark, sf_dir, WIDE)
+    return run_stages(spark, run_config(spark, sf_dir, WIDE)).summary(spark)
 
 
 @query
 def staged_run_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staged(spark, sf_dir, NARROW)
+    return run_stages(spark, run_config(spark, sf_dir, NARROW)).summary(spark)
+
+
+@query
+def staged_gold_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of all gold tables of a whole run, as one list."""
+    cfg = run_config(spark, sf_dir, WIDE)
+    run_stages(spark, cfg)
+
+    def gold_table(name: str, day, label, value) -> DataFrame:
+        table = read_table(spark, cfg.layers.gold, name)
+        return table.select(
+            F.lit(name).alias("table_name"), day.alias("order_date"), label.alias("label"), value.cast("double").alias("value")
+        )
+
+    no_day, no_label = F.lit(None).cast("date"), F.lit(None).cast("string")
+    return (
+        gold_table("daily_revenue_by_category", F.col("order_date"), F.col("product_category_name_english"), F.col("revenue"))
+        .unionByName(gold_table("top10_customers_ltv", no_day, F.col("customer_unique_id"), F.col("lifetime_value")))
+        .unionByName(
+            gold_table("rolling_7day_order_volume", F.col("order_date"), no_label, F.col("rolling_7day_avg_order_volume"))
+        )
+    )
+
+
+@query
+def staged_quarantined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that a whole run has set aside, and why."""
+    cfg = run_config(spark, sf_dir, NARROW)
+    run_stages(spark, cfg)
+    table = read_table(spark, cfg.layers.quarantine, "orders")
+    return table.withColumn("broken_rules", F.array_join("broken_rules", ","))
+
+
+@query
+def staged_run_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole run over repeated customers, which is stopped before they fan out."""
+    cfg = run_config(spark, sf_dir, WIDE, unique_references=True)
+    path = f"{cfg.raw_root}/customers.csv"
+    src.doubled_customers(spark, sf_dir).write.mode("overwrite").option("header", True).csv(path)
+    return run_stages(spark, cfg).summary(spark)

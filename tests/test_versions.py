@@ -39,7 +39,8 @@ def ids(df):
 
 
 def folder(spark, db, table):
-    return VersionedTable(spark, db, table).root.removeprefix("file:")
+    made = VersionedTable(spark, db, table)
+    return made.path(made.folder).removeprefix("file:")
 
 
 def data_files(spark, db, table):
