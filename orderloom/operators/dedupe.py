@@ -64,18 +64,19 @@ def keep_latest(df: DataFrame, keys: list[str], columns: list[str], by: str, lab
     if number is None or any(c not in labels and not isinstance(kind, _FIXED) for c, kind in kinds.items()):
         return keep_one(df, keys, columns, (by,))
 
-    coded = df.select(*keys, *columns)
+    # The digest is one of the row as it came, so that the list of a label's values is not
+    # made where the label is not used.
+    digest = F.pmod(F.xxhash64(*columns), F.lit(1 << _DIGEST_BITS)).cast("decimal(38,0)")
+    shift = F.lit(1 << _DIGEST_BITS).cast("decimal(15,0)")
+    lowest = F.lit(-(1 << 62))
+    rank = (F.coalesce(number, lowest).cast("decimal(20,0)") * shift).cast("decimal(38,0)") + digest
+    coded = df.select(*keys, *columns, rank.cast("decimal(38,0)").alias("_rank"))
     values = {}
     for label in labels:
         listed = df.select(label).distinct().agg(F.array_sort(F.collect_list(label)).alias("all"))
         values[label] = listed.scalar()
         coded = coded.withColumn(label, F.array_position(values[label], F.col(label)))
-    digest = F.pmod(F.xxhash64(*columns), F.lit(1 << _DIGEST_BITS)).cast("decimal(38,0)")
-    shift = F.lit(1 << _DIGEST_BITS).cast("decimal(15,0)")
-    lowest = F.lit(-(1 << 62))
-    rank = (F.coalesce(number, lowest).cast("decimal(20,0)") * shift).cast("decimal(38,0)") + digest
-    ranked = coded.withColumn("_rank", rank.cast("decimal(38,0)"))
-    kept = ranked.groupBy(*keys).agg(*(F.max_by(c, "_rank").alias(c) for c in columns))
+    kept = coded.groupBy(*keys).agg(*(F.max_by(c, "_rank").alias(c) for c in columns))
     for label in labels:
         kept = kept.withColumn(label, F.when(F.col(label) > 0, F.get(values[label], (F.col(label) - 1).cast("int"))))
     return kept.select(*keys, *columns)
