@@ -18,10 +18,12 @@ from pyspark.sql import functions as F
 class Template:
     """``open`` + role + ``after_role`` + text + ``close`` for each turn.
 
-    Marks contain no backslash and have two characters at least; ``after_role``
-    starts with one that ends the role. ``moves`` maps a state (``start`` or the
-    last role) to the roles that may follow; ``final`` are the states in which a
-    conversation is complete.
+    Marks contain no backslash; ``open`` and ``close`` have two characters at least,
+    without line feeds at the end of ``close``. ``after_role`` starts with a character that
+    ends the role, so ``open`` does not contain it. The end of ``close`` is not its own
+    beginning, so that what a text ends with cannot be taken for a part of it. ``moves`` maps
+    a state (``start`` or the last role) to the roles that may follow; ``final`` are the
+    states in which a conversation is complete.
     """
 
     open: str = "<turn "
@@ -39,6 +41,15 @@ class Template:
     )
     final: tuple[str, ...] = ("assistant",)
 
+    def __post_init__(self) -> None:
+        mark = self.close.rstrip("\n")
+        if "\\" in self.open + self.after_role + self.close or min(len(self.open), len(mark)) < 2 or not self.after_role:
+            raise ValueError("marks have two characters at least, and no backslash")
+        if self.after_role[0] in self.open:
+            raise ValueError("the mark before a role contains the character that ends the role")
+        if any(self.close.startswith(self.close[i:]) for i in range(1, len(self.close))):
+            raise ValueError("the mark after a text ends as it begins")
+
     @property
     def controls(self) -> tuple[str, ...]:
         """What a text must not contain as it is."""
@@ -149,7 +160,7 @@ def format_chats(conversations: DataFrame, template: Template = TEMPLATE) -> Dat
 
 def read_turns(formatted: Column, template: Template = TEMPLATE) -> Column:
     """The formatted string as an array of structs of role and text, escapes undone."""
-    parts = F.split(formatted, template.close)
+    parts = F.split(formatted, rf"\Q{template.close}\E")
     parts = F.slice(parts, 1, F.size(parts) - 1)
 
     def turn(part: Column) -> Column:
