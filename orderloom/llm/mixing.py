@@ -2,8 +2,9 @@
 
 The mix is made of blocks of equal length in words. Blocks go to sources by the
 highest quotients target / (2k + 1), shard after shard, so every shard gets whole
-blocks and each prefix of shards follows the targets. A source then fills its
-blocks from its documents in seeded order, again from the start when they run out.
+blocks and each prefix of shards follows the targets. A source's blocks of all shards are
+then filled from its documents in seeded order, again from the start when they run out;
+which shard a document goes to is left to who writes them.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.tables import Scratch, running_total
+from orderloom.llm.tables import Scratch, located, running_total
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -114,19 +115,27 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     the document's source, ``taken`` the words that the mix takes of it, repeats
     counted, at most ``most_repeats`` times its size; ``copies`` is taken / size
     rounded half up. Documents without words are never taken. Order within a source
-    is by md5 of seed and doc_id, then doc_id and size, so reruns agree; repeated
-    rows are documents of their own, and those that tie are equal. Other columns
+    is by md5 of seed and doc_id, then doc_id and size, so reruns agree. Documents without
+    id, which all have one md5, are dealt out by their place in the file. Repeated rows are
+    documents of their own, and those that tie are equal. Other columns
     are ignored; an empty table gives no rows.
 
     The driver sees one row per source.
     """
+    scratch = Scratch(docs.sparkSession, "mixing")
+    return _mixed(located(docs.select("doc_id", "source", "text"), scratch), mix, scratch).drop("file", "row")
+
+
+def _mixed(docs: DataFrame, mix: Mix, scratch: Scratch) -> DataFrame:
+    """What ``mix_documents`` tells, with the file and row of each document."""
     spark = docs.sparkSession
-    scratch = Scratch(spark, "mixing")
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
-    place = F.md5(F.concat(F.lit(f"{mix.seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    at = (F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat_ws("#", at[0], at[1].cast("string")))
+    place = F.md5(F.concat(F.lit(f"{mix.seed}:"), name))
     key = F.when(F.col("source").isNull(), "0").otherwise(F.concat(F.lit("1"), "source"))
     sizes = scratch.write(
-        docs.select("doc_id", "source", size.alias("size"), place.alias("_place"), key.alias("_key")), "sizes"
+        docs.select("doc_id", "source", size.alias("size"), place.alias("_place"), key.alias("_key"), *at), "sizes"
     )
     totals = sizes.groupBy("_key", "source").agg(F.sum("size").alias("size")).collect()
     keys = {r["source"]: r["_key"] for r in totals}
@@ -158,6 +167,8 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
             "target",
             "taken",
             F.when(F.col("size") > 0, F.expr("(2 * taken + size) div (2 * size)")).otherwise(0).cast("int").alias("copies"),
+            "file",
+            "row",
         )
     )
 
@@ -166,17 +177,15 @@ def mixed_rows(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The documents of the mix with all their columns, each as often as it is taken.
 
     A document taken in part, at most one per source, counts as often as its share
-    rounds to. Rows that share doc_id, source and size take turns evenly.
+    rounds to. Each row has copies of its own, also where rows share an id or have none.
     """
-    size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
-    key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("source"), F.lit("")), F.col("source").isNull()]
-    same = [*(c.alias(n) for c, n in zip(key, ("_a", "_b", "_c"), strict=True))]
-    counts = mix_documents(docs, mix).select(*same, F.col("size").alias("_size"), "copies")
-    # Rows with the same doc_id, source and size share their copies.
-    counts = counts.groupBy("_a", "_b", "_c", "_size").agg(F.sum("copies").alias("_sum"), F.count(F.lit(1)).alias("_rows"))
-    rows = docs.select(F.struct(*docs.columns).alias("_doc"), *same, size.alias("_size"))
-    joined = rows.join(counts.where("_sum > 0"), ["_a", "_b", "_c", "_size"])
-    single = F.col("_sum").cast("int")
-    share = F.ceil(F.col("_sum") / F.col("_rows")).cast("int")
-    times = F.when(F.col("_rows") == 1, single).otherwise(share)
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).select("_doc.*")
+    scratch = Scratch(docs.sparkSession, "mixed-rows")
+    rows = located(docs, scratch)
+    mixed = _mixed(rows, mix, scratch).where("copies > 0")
+    copies = mixed.select(F.struct("file", "row").alias("_place"), F.col("copies").alias("_copies"))
+    placed = rows.select(
+        F.struct(*(F.col(f"`{c}`") for c in rows.columns)).alias("_doc"),
+        F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias("_place"),
+    )
+    joined = placed.join(copies, "_place")
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_doc.*")

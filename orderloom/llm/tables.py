@@ -6,6 +6,7 @@ import os
 from contextlib import contextmanager
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -70,9 +71,13 @@ def settings(spark: SparkSession, **values: str):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def columns_of(df: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns, so that others can neither clash nor be read."""
-    return df.select(*(F.col(f"`{name}`") for name in names))
+def located(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rows of a file scan, whose ``_metadata`` tells their place; others are written first."""
+    try:
+        docs.select("_metadata.row_index")
+        return docs
+    except AnalysisException:
+        return scratch.write(docs, "located")
 
 
 def text_or_empty(name: str = "text") -> Column:
