@@ -24,7 +24,7 @@ from orderloom.llm.tokens import groups
 END = 2
 TOKEN_BYTES = 2
 BLOCK_TOKENS = 1 << 19
-DOCUMENTS_PER_FILE = 5000
+FILE_BYTES = 64 << 20
 TEXTS_PER_BATCH = "1000"
 
 # Before its end, a document carries its number in ids that the vocabulary leaves
@@ -59,16 +59,17 @@ def _numbers(digits: np.ndarray) -> list[int | None]:
     return values
 
 
-def write_token_files(docs: DataFrame, tokenizer: str, folder: str) -> None:
+def write_token_files(docs: DataFrame, tokenizer: str, folder: str, file_bytes: int = FILE_BYTES) -> None:
     """Flat files of the ids of whole texts (null: empty), number and end id after each.
 
-    Spark's text writer appends the end id as its line separator, so it works on
+    A task starts another file once one has ``file_bytes``, so a file is that and one
+    document at most. Spark's text writer appends the end id as its line separator, so it works on
     any file system Spark can write to. ``tokenizer`` is the file of a sentencepiece
     model, on every executor.
     """
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        processor = _processor(tokenizer)
+        processor, written = _processor(tokenizer), 0
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             for first, texts in groups(batch.column(1).to_pylist()):
@@ -77,13 +78,16 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str) -> None:
                 ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
                 parts = zip(doc_ids[first : first + len(texts)], np.split(flat, ends[:-1]), strict=True)
                 rows = [np.concatenate([part, _digits(d)]).astype("<u2").tobytes() for d, part in parts]
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["ids"])
+                sizes = np.fromiter(map(len, rows), np.int64, len(rows)) + TOKEN_BYTES
+                before = written + np.cumsum(sizes) - sizes
+                written += int(sizes.sum())
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), pa.array(before // file_bytes)], ["ids", "piece"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     with settings(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=TEXTS_PER_BATCH):
-        ids = texts.mapInArrow(encode, "ids binary").select(F.col("ids").cast("string").alias("value"))
+        ids = texts.mapInArrow(encode, "ids binary, piece long").select(F.col("ids").cast("string").alias("value"), "piece")
         separator = END.to_bytes(TOKEN_BYTES, "little").decode()
-        ids.write.option("lineSep", separator).option("maxRecordsPerFile", DOCUMENTS_PER_FILE).text(folder)
+        ids.write.option("lineSep", separator).partitionBy("piece").text(folder)
 
 
 def _search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,13 +121,13 @@ def scan_token_files(spark: SparkSession, folder: str, block_tokens: int = BLOCK
     ``doc_no`` counts the documents of a file from 0, ``start`` its tokens before
     the document, numbers and ends included; ``n_tokens`` is the document's own. A
     document without tokens has 0, an empty file no row. Spark reads a file as one
-    value, so files stay below 2 GB.
+    value, so files must stay below 2 GB.
     """
     Scratch(spark, "separator-scan")
     step, lead = block_tokens * TOKEN_BYTES, DIGITS * TOKEN_BYTES
     files = spark.read.format("binaryFile").load(folder).where("length > 0")
     blocks = files.select(
-        F.substring_index("path", "/", -1).alias("file"),
+        F.substring_index("path", "/", -2).alias("file"),
         "content",
         F.explode(F.sequence(F.lit(0), F.floor((F.col("length") - 1) / step).cast("int"))).alias("block"),
     ).select(
