@@ -24,6 +24,7 @@ from orderloom.llm.tokens import groups, word_tokenizer
 
 PIECE_FIELDS = "doc_id long, piece int, start long, length long, ids_crc32 long"
 TEXTS_PER_BATCH = "256"
+PIECES_PER_BUCKET = 50_000
 
 
 class Tightest:
@@ -148,8 +149,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, separator: int =
     A document is its token ids (whole text; null: empty) and the ``separator``.
     Only documents longer than ``capacity`` are cut. ``ids_crc32`` is that of the
     ids as little-endian unsigned 32-bit; ``with_ids`` adds them in that form.
-    Ties are broken by doc_id, piece, start and crc; rows that repeat are packed
-    each. An empty table gives no rows; other columns are ignored.
+    Pieces of one length take the places for that length in any order, that of a written
+    table; rows that repeat are packed each. An empty table gives no rows; other columns are ignored.
 
     ``tokenizer`` is the file of a tokenizer that drops white space, on every
     executor. The driver sees one count per length, ``capacity`` at most.
@@ -169,8 +170,9 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, separator: int =
             kept = batch.drop_columns(["_rank"])
             yield kept.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
-    ties = ["doc_id", "piece", "start", "ids_crc32"]
-    bucket = spread(*map(F.col, ties))
-    ranked = running_total(pieces, ["length"], F.lit(1), bucket, ties, "_rank")
+    # By their place in the written table, so that equal pieces are dealt out too.
+    placed = pieces.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    bucket = spread(F.col("_file"), F.col("_row"), buckets=max(256, sum(counts.values()) // PIECES_PER_BUCKET))
+    ranked = running_total(placed, ["length"], F.lit(1), bucket, ["_file", "_row"], "_rank")
     ranked = ranked.select(*pieces.columns, F.col("_rank").cast("long").alias("_rank"))
     return ranked.mapInArrow(place, fields + ", sequence_id long, offset long")
