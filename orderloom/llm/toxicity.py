@@ -35,19 +35,23 @@ class Fit:
     """How the model is fitted.
 
     ``rows`` bounds the labelled documents that are learned from (about that many,
-    taken by a hash of doc_id), ``terms`` the terms that get parameters: those in
-    enough of these documents and most tied to the label, by ``least_tie`` standard
-    deviations at least.
+    taken by a hash of doc_id). Terms in enough of these documents can get parameters:
+    the ``tied`` ones that are most tied to the label by themselves, by ``least_tie``
+    standard deviations at least, and the ``frequent`` ones that tell most documents
+    apart, whatever their own tie, since a term may count only together with another.
+    Those of the second kind alone are held back by ``untied_decay``.
     """
 
     rows: int = 20_000
-    terms: int = 4096
+    tied: int = 4096
     least_tie: float = 3.0
+    frequent: int = 1024
     factors: int = 8
     steps: int = 2000
     batch: int = 256
     rate: float = 0.1
     decay: float = 1e-5
+    untied_decay: float = 1e-3
     seed: int = 7
 
     def least_documents(self, rows: int) -> int:
@@ -92,18 +96,43 @@ def _margin(bias, weights, factors, columns, doc, docs):
     return bias + linear + 0.5 * ((sums**2).sum(1) - squares), sums
 
 
-def train(terms: np.ndarray, columns: np.ndarray, doc: np.ndarray, labels: np.ndarray, fit: Fit) -> Model:
-    """AdaGrad on the logistic loss. ``doc`` is sorted."""
-    docs, rng = len(labels), np.random.default_rng(fit.seed)
-    toxic = float(labels.sum())
+def train(
+    terms: np.ndarray, columns: np.ndarray, doc: np.ndarray, labels: np.ndarray, tied: np.ndarray, fit: Fit
+) -> Model:
+    """First the terms that are ``tied`` to the label alone, then all of them from there on,
+    so that the others explain what is left."""
+    rng = np.random.default_rng(fit.seed)
+    docs, toxic = len(labels), float(labels.sum())
     bias = math.log((toxic + 0.5) / (docs - toxic + 0.5))
-    weights, factors = np.zeros(len(terms)), rng.normal(0, 0.01, (len(terms), fit.factors))
     if not 0 < toxic < docs or not len(terms):
-        return Model(terms, weights, np.zeros_like(factors), bias)
-    seen_b, seen_w, seen_f = 1e-6, np.full(len(terms), 1e-6), np.full(factors.shape, 1e-6)
+        return Model(terms, np.zeros(len(terms)), np.zeros((len(terms), fit.factors)), bias)
+    model = Model(terms, np.zeros(len(terms)), rng.normal(0, 0.01, (len(terms), fit.factors)), bias)
+    decay = np.where(tied, fit.decay, fit.untied_decay)
+    own = tied[columns]
+    if own.any():
+        model = _descend(model, columns[own], doc[own], labels, decay, fit.steps, fit, rng)
+    if not own.all():
+        model = _descend(model, columns, doc, labels, decay, fit.steps // 2, fit, rng)
+    return model
+
+
+def _descend(
+    model: Model,
+    columns: np.ndarray,
+    doc: np.ndarray,
+    labels: np.ndarray,
+    decay: np.ndarray,
+    steps: int,
+    fit: Fit,
+    rng: np.random.Generator,
+) -> Model:
+    """AdaGrad on the logistic loss, with a decay per term. ``doc`` is sorted."""
+    docs, bias = len(labels), model.bias
+    weights, factors = model.weights.copy(), model.factors.copy()
+    seen_b, seen_w, seen_f = 1e-6, np.full(len(weights), 1e-6), np.full(factors.shape, 1e-6)
     first = np.searchsorted(doc, np.arange(docs + 1))
     order, at = rng.permutation(docs), 0
-    for _ in range(fit.steps):
+    for _ in range(steps):
         if at >= docs:
             order, at = rng.permutation(docs), 0
         some = order[at : at + fit.batch]
@@ -115,18 +144,18 @@ def train(terms: np.ndarray, columns: np.ndarray, doc: np.ndarray, labels: np.nd
         slope = (_sigmoid(margin) - labels[some]) / len(some)
         used, place = np.unique(col, return_inverse=True)
         pull = slope[row]
-        step = np.bincount(place, weights=pull, minlength=len(used)) + fit.decay * weights[used]
+        step = np.bincount(place, weights=pull, minlength=len(used)) + decay[used] * weights[used]
         seen_w[used] += step**2
         weights[used] -= fit.rate * step / np.sqrt(seen_w[used])
         pull = pull[:, None] * (sums[row] - factors[col])
         step = np.stack([np.bincount(place, weights=p, minlength=len(used)) for p in pull.T], 1)
-        step += 10 * fit.decay * factors[used]
+        step += 10 * decay[used, None] * factors[used]
         seen_f[used] += step**2
         factors[used] -= 0.2 * fit.rate * step / np.sqrt(seen_f[used])
         step = slope.sum()
         seen_b += step**2
         bias -= fit.rate * step / math.sqrt(seen_b)
-    return Model(terms, weights, factors, float(bias))
+    return Model(model.terms, weights, factors, float(bias))
 
 
 def _term_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,9 +196,12 @@ def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
         F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")
     )
     tie = F.abs(F.col("toxic") - F.col("n") * prior) / F.sqrt(F.col("n") * (prior * (1 - prior) + 1e-9))
-    enough = (F.col("n") >= fit.least_documents(rows)) & (tie >= fit.least_tie)
-    best = per_term.where(enough).orderBy(tie.desc(), "term").limit(fit.terms)
-    chosen = np.array(sorted(r["term"] for r in best.collect()), np.int64)
+    splits = F.col("n") * (rows - F.col("n"))
+    able = scratch.write(per_term.where(F.col("n") >= fit.least_documents(rows)), "per-term")
+    tied = {r["term"] for r in able.where(tie >= fit.least_tie).orderBy(tie.desc(), "term").limit(fit.tied).collect()}
+    frequent = {r["term"] for r in able.orderBy(splits.desc(), "term").limit(fit.frequent).collect()}
+    chosen = np.array(sorted(tied | frequent), np.int64)
+    is_tied = np.isin(chosen, sorted(tied))
 
     wanted = F.array(*(F.lit(int(t)) for t in chosen)) if len(chosen) else F.array().cast("array<int>")
     kept = lists.select("toxic", F.array_sort(F.array_intersect("terms", wanted)).alias("terms"))
@@ -179,7 +211,7 @@ def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
     lengths = np.fromiter(map(len, table["terms"]), np.int64, len(table))
     flat = np.concatenate([np.empty(0, np.int64), *table["terms"]]).astype(np.int64)
     doc = np.repeat(np.arange(len(table)), lengths)
-    return train(chosen, np.searchsorted(chosen, flat), doc, table["toxic"].to_numpy(float), fit)
+    return train(chosen, np.searchsorted(chosen, flat), doc, table["toxic"].to_numpy(float), is_tied, fit)
 
 
 class Scorer:
