@@ -15,6 +15,7 @@ table; any number may read it.
 from __future__ import annotations
 
 import json
+import re
 import time
 import uuid
 import zlib
@@ -47,6 +48,11 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def literal(path: str) -> str:
+    """A path as a pattern that stands for itself."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 @dataclass(frozen=True)
 class Part:
     """A folder below the database's, with the range of the first clustering column as text."""
@@ -125,9 +131,15 @@ class VersionedTable:
             return None
         return State.from_text("".join(found[f"{_STATE}.{i}"] for i in range(len(found))))
 
+    def known_state(self) -> State:
+        state = self.state()
+        if state is None:
+            raise ValueError(f"{self.name} is not a table made of parts")
+        return state
+
     def read(self, parts: tuple[Part, ...]) -> DataFrame:
         schema = self.spark.table(self.name).schema
-        return self.spark.read.schema(schema).parquet(*map(self.path, parts))
+        return self.spark.read.schema(schema).parquet(*(literal(self.path(p)) for p in parts))
 
     def switch(self, state: State) -> None:
         """Make ``state`` the table: the one step by which anything changes."""
@@ -135,13 +147,13 @@ class VersionedTable:
         pieces = [text[i : i + _PROPERTY_LENGTH] for i in range(0, len(text), _PROPERTY_LENGTH)]
         properties = ", ".join(f"'{_STATE}.{i}' = '{piece}'" for i, piece in enumerate(pieces))
         columns = ", ".join(map(quoted, state.columns))
-        paths = "{" + ",".join(p.path for p in state.parts) + "}"
+        paths = "{" + ",".join(literal(p.path) for p in state.parts) + "}"
         if self.spark.catalog.tableExists(self.name) and self.spark.catalog.getTable(self.name).tableType != "VIEW":
             # A table of another kind, from elsewhere, cannot be replaced by a view in one call.
             self.spark.sql(f"DROP TABLE {self.name}")
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.name} TBLPROPERTIES ({properties})"
-            f" AS SELECT {columns} FROM parquet.`{self.location}/{paths}`"
+            f" AS SELECT {columns} FROM parquet.{quoted(f'{literal(self.location)}/{paths}')}"
         )
 
     def replace_parts(self, state: State, old: tuple[Part, ...], new: tuple[Part, ...], **changes) -> State:
@@ -216,7 +228,7 @@ def _written_in_order(table: VersionedTable, ordered: DataFrame, key: str) -> tu
     ordered.write.partitionBy(_PART).parquet(table.path(folder))
     rows = []
     if list_folder(spark, table.path(folder)):
-        found = spark.read.schema(ordered.schema).parquet(table.path(folder)).groupBy(_PART).agg(
+        found = spark.read.schema(ordered.schema).parquet(literal(table.path(folder))).groupBy(_PART).agg(
             F.count(F.lit(1)).alias("rows"),
             F.min(quoted(key)).cast("string").alias("low"),
             F.max(quoted(key)).cast("string").alias("high"),
@@ -311,7 +323,7 @@ def compact(table: VersionedTable, most_bytes: int = COMPACT_BYTES, keep: timede
     Larger parts stay as they are. Each group is switched on its own, so a job that
     dies has done part of the work and lost none.
     """
-    state, rewritten = table.state(), 0
+    state, rewritten = table.known_state(), 0
     for group in _joined([[p] for p in state.parts], most_bytes):
         if len(group) > 1:
             new = _written(table, table.read(tuple(group)).hint("rebalance"))
@@ -351,7 +363,7 @@ def cluster(
     A sweep over the parts' ranges finds the groups. A table that was not clustered by
     the first of ``columns`` before is rewritten whole, one that is in order not at all.
     """
-    state = table.state()
+    state = table.known_state()
     if state.key != columns[0]:
         groups = [list(state.parts)]
     else:

@@ -122,6 +122,23 @@ def test_names_types_and_empty_tables(spark, db):
     assert not spark.catalog.tableExists(f"{db}.t") and not os.path.exists(folder(spark, db, "t"))
 
 
+def test_a_folder_whose_name_is_a_pattern(spark, db):
+    create_database(spark, f"{db}_odd", f"{scratch_path(spark, 'layers')}/a{{b,c}}[d]*")
+    for _ in range(2):
+        refresh_table(days(spark, 0, 20), f"{db}_odd", "t", cluster_by=("order_date",))
+    append_table(days(spark, 3, 5), f"{db}_odd", "t")
+    assert cluster_table(spark, f"{db}_odd", "t", "order_date", keep=NOW) == 2
+    assert read_table(spark, f"{db}_odd", "t").count() == 880
+
+
+def test_other_tables_are_not_touched(spark, db):
+    spark.range(4).write.saveAsTable(f"{db}.t")
+    for change in (lambda: compact_table(spark, db, "t"), lambda: cluster_table(spark, db, "t", "id")):
+        with pytest.raises(ValueError):
+            change()
+    assert ids(read_table(spark, db, "t")) == [0, 1, 2, 3]
+
+
 def test_a_long_list_of_parts_survives_as_text():
     state = State(tuple(Part(f"p{i}/part={i}", i, i, "it's", None) for i in range(500)), (("a", 1.5),), ("x", "ü`"), "x")
     assert State.from_text(state.to_text()) == state
