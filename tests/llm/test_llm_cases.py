@@ -426,6 +426,27 @@ def test_large_groups_lose_no_link(spark, monkeypatch, change):
     assert found == near_components(enumerate(texts)) and BLOCK > 16
 
 
+@pytest.mark.parametrize("sketch", [Sketch(bands=1, rows=128), Sketch(bands=2, rows=64), Sketch()])
+def test_small_sets_that_share_no_band_are_linked(spark, sketch):
+    """With few bands a single other shingle changes them all."""
+    rng, texts = random.Random(8), []
+    for base in range(30):
+        own = [f"w{base}x{i}" for i in range(rng.randint(6, 12))]
+        texts += [own, own[:-1], own[1:], [*own, "more"], own[:2] + own[3:]]
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    docs += [(None, "one two three four five six seven"), (None, "one two three four five six seven eight"), (900, "one two")]
+    found = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), sketch).collect()
+    named = {r.doc_id: (r.n_shingles, r.component_id) for r in found if r.doc_id is not None}
+    expected = near_components([d for d in docs if d[0] is not None])
+    if sketch.bands > 2:
+        assert named == expected
+    else:
+        # Links that take a single shingle are all there; those of larger sets may need bands.
+        small = {d for d, (n, _) in expected.items() if n <= 5}
+        assert all(named[d] == expected[d] for d in small if expected[d][1] in small)
+    assert [r.kept for r in found if r.doc_id is None].count(True) == 1
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(100, 140)] + [(0, i) for i in range(1, 60)] + [(7, 7)]
     found = components(spark.createDataFrame(path, "u long, v long"), Scratch(spark, "components-test"))

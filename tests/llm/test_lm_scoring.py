@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from orderloom.llm.gru import Model, Shape, initial, train, windows
-from orderloom.llm.lm_scoring import Plan, build_vocabulary, count_tokens, score_documents
+from orderloom.llm.lm_scoring import Plan, build_vocabulary, count_tokens, make_symbols, score_documents
 from orderloom.llm.tables import Scratch
 
 COLUMNS = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
@@ -174,21 +174,38 @@ def test_held_out_texts_are_likelier_than_by_counts_and_order_matters(spark):
     assert sum(rows[i].score > rows[i + 10_000_000].score for i, _ in docs[:200]) > 190
 
 
-def test_chances_of_all_words_add_up_to_one(spark):
-    """Words of a one-word vocabulary after nothing: known ones, and one unseen."""
+@pytest.mark.parametrize("kinds", [1, 5])
+def test_chances_of_all_words_add_up_to_one(spark, kinds):
+    """Within each band: the words of the dictionary, rarer ones, and one unseen word."""
     texts = spark.createDataFrame([(t,) for t in language(3, 60)], "text string")
     counts = count_tokens(texts, Scratch(spark, "test"))
-    plan = Plan(dictionary=20, head_words=6, bands=4)
+    plan = Plan(dictionary=24, head_words=6, kinds=kinds)
     known = build_vocabulary(counts, plan)
+    symbols = make_symbols(known, np.arange(known.size) % (kinds + 1), plan)
     inside = Counter()
-    for word, symbol in known.index().items():
-        at = known.index()[word]
-        if symbol >= 6:
-            inside[int(known.symbol[at])] += 10 ** known.inside[at]
+    for at in known.index().values():
+        if at >= 6:
+            inside[int(symbols.symbol[at])] += 10 ** symbols.inside[at]
+        else:
+            assert symbols.symbol[at] == at and symbols.inside[at] == 0
     rare = [r["n"] for r in counts.collect() if r["word"] not in known.index()]
-    inside[known.shape.symbols - 1] += sum((n + 1) / known.outside for n in rare) + 1 / known.outside
-    assert all(math.isclose(chance, 1) for chance in inside.values()) and len(inside) >= 2
-    assert known.tokens == sum(r["n"] for r in counts.collect())
+    inside[symbols.shape.symbols - 1] += sum((n + 1) / symbols.outside for n in rare) + 1 / symbols.outside
+    assert all(math.isclose(chance, 1) for chance in inside.values()) and len(inside) == kinds + 2
+    assert known.tokens == sum(r["n"] for r in counts.collect()) == symbols.counts.sum()
+
+
+def test_bands_tell_languages_apart(spark):
+    """Four languages, of which a single kind tells one from the others."""
+    rng, docs = random.Random(6), []
+    for i in range(600):
+        tongue = "abcd"[i % 4]
+        words = [f"{tongue}{rng.randrange(4)}" if rng.random() < 0.6 else f"{tongue}rare{rng.randrange(200)}" for _ in range(60)]
+        docs.append((i, " ".join(words)))
+    sums = []
+    for kinds in (1, 16):
+        rows = scored(spark, docs, Plan(head_words=17, kinds=kinds, rounds=2, most_passes=3))
+        sums.append(sum(r.score for r in rows if r.held_out) / sum(r.n_tokens for r in rows if r.held_out))
+    assert sums[1] > sums[0] + 0.03
 
 
 def test_no_documents_and_none_to_learn_from(spark):
