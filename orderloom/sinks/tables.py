@@ -43,7 +43,7 @@ def refresh_table(
         return versions.refresh(VersionedTable(df.sparkSession, database, table), df, cluster_by, keep)
     name = f"{database}.{table}"
     if cluster_by:
-        df = versions.in_key_order(df, cluster_by).drop("part")
+        df = versions.in_key_order(df, cluster_by).drop(versions.PART)
     writer = df.write.format(table_format).mode("overwrite")
     if table_format == "delta":
         writer = writer.option("overwriteSchema", "true")

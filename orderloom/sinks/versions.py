@@ -41,7 +41,8 @@ MOST_PARTS = 50
 
 _STATE = "orderloom.parts"
 _PROPERTY_LENGTH = 3500
-_PART, _SPLIT = "part", "belongs"
+# Columns that rows have only while they are written.
+PART, SPLIT = "orderloom_part", "orderloom_belongs"
 
 
 def quoted(name: str) -> str:
@@ -192,6 +193,12 @@ class VersionedTable:
                 delete_path(self.spark, self.path(f"{self.folder}/{name}"))
 
 
+def _free(df: DataFrame, *names: str) -> None:
+    for name in names:
+        if name in df.columns:
+            raise ValueError(f"the name {name!r} is needed while the rows are written")
+
+
 def sibling(table: VersionedTable, name: str) -> VersionedTable:
     return VersionedTable(table.spark, table.database, name, table.location)
 
@@ -206,13 +213,14 @@ def in_key_order(df: DataFrame, columns: tuple[str, ...], partitions: int | None
     again. Without ``partitions`` their number is left to AQE, which merges small ranges;
     that is the compaction.
     """
+    _free(df, PART, "_tie")
     tie = F.xxhash64(F.spark_partition_id(), *[F.col(quoted(c)) for c in df.columns])
     keys = [*(F.col(quoted(c)) for c in columns), F.col("_tie")]
     dealt = df.withColumn("_tie", tie)
     ranged = dealt.repartitionByRange(partitions, *keys) if partitions else dealt.repartitionByRange(*keys)
     number = F.spark_partition_id()
     part = F.floor(number * parts / partitions) if partitions and parts else F.floor(number / FILES_PER_PART)
-    return ranged.drop("_tie").withColumn(_PART, part.cast("int")).sortWithinPartitions(_PART, *map(quoted, columns))
+    return ranged.drop("_tie").withColumn(PART, part.cast("int")).sortWithinPartitions(PART, *map(quoted, columns))
 
 
 def _written(table: VersionedTable, df: DataFrame) -> tuple[Part, ...]:
@@ -225,18 +233,18 @@ def _written(table: VersionedTable, df: DataFrame) -> tuple[Part, ...]:
 def _written_in_order(table: VersionedTable, ordered: DataFrame, key: str) -> tuple[Part, ...]:
     """The parts of rows in key order, each with its range of the first key."""
     spark, folder = table.spark, table.new_path()
-    ordered.write.partitionBy(_PART).parquet(table.path(folder))
+    ordered.write.partitionBy(PART).parquet(table.path(folder))
     rows = []
     if list_folder(spark, table.path(folder)):
-        found = spark.read.schema(ordered.schema).parquet(literal(table.path(folder))).groupBy(_PART).agg(
+        found = spark.read.schema(ordered.schema).parquet(literal(table.path(folder))).groupBy(PART).agg(
             F.count(F.lit(1)).alias("rows"),
             F.min(quoted(key)).cast("string").alias("low"),
             F.max(quoted(key)).cast("string").alias("high"),
         )
         rows = sorted(found.collect())
     if not rows:
-        return _written(table, ordered.drop(_PART))
-    paths = [f"{folder}/{_PART}={r[_PART]}" for r in rows]
+        return _written(table, ordered.drop(PART))
+    paths = [f"{folder}/{PART}={r[PART]}" for r in rows]
     return tuple(
         Part(path, r["rows"], path_bytes(spark, table.path(path)), r["low"], r["high"])
         for path, r in zip(paths, rows, strict=True)
@@ -245,8 +253,6 @@ def _written_in_order(table: VersionedTable, ordered: DataFrame, key: str) -> tu
 
 def refresh(table: VersionedTable, df: DataFrame, cluster_by: tuple[str, ...] = (), keep: timedelta = KEEP_OLD) -> int:
     """Replace rows and schema of the table; the number of rows."""
-    if _PART in df.columns and cluster_by:
-        raise ValueError(f"a clustered table cannot have a column named {_PART!r}")
     state = table.state() or State()
     new = _written_in_order(table, in_key_order(df, cluster_by), cluster_by[0]) if cluster_by else _written(table, df)
     columns, key = tuple(df.columns), cluster_by[0] if cluster_by else None
@@ -267,14 +273,15 @@ def refresh_split(
     """Refresh two tables in one pass over ``df``: ``table`` with the rows for which
     ``belongs`` holds, ``others`` with the rest; the number of rows of each."""
     spark, folder, written = table.spark, table.new_path(), Observation()
-    marked = df.withColumn(_SPLIT, F.coalesce(belongs, F.lit(False)))
-    counts = (F.count_if(_SPLIT).alias("kept"), F.count_if(~F.col(_SPLIT)).alias("rest"))
-    marked.observe(written, *counts).write.partitionBy(_SPLIT).parquet(table.path(folder))
+    _free(df, SPLIT)
+    marked = df.withColumn(SPLIT, F.coalesce(belongs, F.lit(False)))
+    counts = (F.count_if(SPLIT).alias("kept"), F.count_if(~F.col(SPLIT)).alias("rest"))
+    marked.observe(written, *counts).write.partitionBy(SPLIT).parquet(table.path(folder))
     for target, other, side, name, chosen in (
         (others, table, "false", "rest", other_columns),
         (table, others, "true", "kept", columns),
     ):
-        path, rows = f"{folder}/{_SPLIT}={side}", written.get[name]
+        path, rows = f"{folder}/{SPLIT}={side}", written.get[name]
         if not rows:
             df.limit(0).write.parquet(table.path(path))
         part = Part(path, rows, path_bytes(spark, table.path(path)))

@@ -259,6 +259,16 @@ def test_a_crash_while_clustering_keeps_every_row(spark, db, monkeypatch):
     assert read_table(spark, db, "t").count() == 1280
 
 
+def test_columns_with_everyday_names_are_kept(spark, db):
+    rows = spark.range(30).selectExpr("id AS part", "id % 3 AS belongs", "id AS `order`")
+    refresh_table(rows, db, "t", cluster_by=("order",))
+    append_table(rows, db, "t")
+    cluster_table(spark, db, "t", "belongs", "part")
+    assert sorted(map(tuple, read_table(spark, db, "t").collect())) == sorted((i, i % 3, i) for i in [*range(30)] * 2)
+    with pytest.raises(ValueError):
+        refresh_table(rows.withColumn(versions.PART, F.lit(1)), db, "t", cluster_by=("order",))
+
+
 def test_missing_and_changed_keys(spark, db):
     rows = spark.range(100).selectExpr("CASE WHEN id % 3 > 0 THEN id END AS k", "id", "CAST(id AS STRING) AS s")
     refresh_table(rows, db, "t", cluster_by=("k",))
