@@ -28,6 +28,7 @@ PREFIXES = (3, 4, 5, 6)
 # Words whose terms a worker remembers.
 MOST_WORDS = 200_000
 TEXTS_PER_BATCH = "1000"
+TEXTS_AT_ONCE = 256
 
 
 @dataclass(frozen=True)
@@ -205,13 +206,18 @@ def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
 
     wanted = F.array(*(F.lit(int(t)) for t in chosen)) if len(chosen) else F.array().cast("array<int>")
     kept = lists.select("toxic", F.array_sort(F.array_intersect("terms", wanted)).alias("terms"))
-    table = kept.toPandas() if rows else pd.DataFrame({"toxic": [], "terms": []})
+    table = kept.toArrow()
+    labels, lists = table["toxic"].to_numpy().astype(float), table["terms"].combine_chunks()
+    flat, lengths = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+    ends = np.cumsum(lengths)
+    each = [flat[a:b] for a, b in zip((ends - lengths).tolist(), ends.tolist(), strict=True)]
     # The same order in every run, whatever the order of tasks.
-    table = table.iloc[sorted(range(len(table)), key=lambda i: (table["toxic"][i], tuple(table["terms"][i])))]
-    lengths = np.fromiter(map(len, table["terms"]), np.int64, len(table))
-    flat = np.concatenate([np.empty(0, np.int64), *table["terms"]]).astype(np.int64)
-    doc = np.repeat(np.arange(len(table)), lengths)
-    return train(chosen, np.searchsorted(chosen, flat), doc, table["toxic"].to_numpy(float), is_tied, fit)
+    order = sorted(range(len(each)), key=lambda i: (labels[i], each[i].astype(">i4").tobytes()))
+    order = np.array(order, np.int64)
+    flat = np.concatenate([np.empty(0, np.int32), *(each[i] for i in order)])
+    doc = np.repeat(np.arange(len(order), dtype=np.int32), lengths[order])
+    columns = np.searchsorted(chosen, flat).astype(np.int32)
+    return train(chosen, columns, doc, labels[order], is_tied, fit)
 
 
 class Scorer:
@@ -231,7 +237,12 @@ class Scorer:
             self.known[word] = found
         return found
 
-    def __call__(self, texts: Iterable[str | None]) -> np.ndarray:
+    def __call__(self, texts: list[str | None]) -> np.ndarray:
+        """Some texts at a time, as each has a set of its terms."""
+        parts = [self._scores(texts[at : at + TEXTS_AT_ONCE]) for at in range(0, len(texts), TEXTS_AT_ONCE)]
+        return np.concatenate([np.empty(0), *parts])
+
+    def _scores(self, texts: list[str | None]) -> np.ndarray:
         found = [{c for w in words(text) for c in self._columns(w)} for text in texts]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         columns = np.fromiter((c for f in found for c in f), np.int64, int(lengths.sum()))
@@ -245,7 +256,7 @@ def toxicity(model: Model) -> Column:
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(model)
         for texts in batches:
-            yield pd.Series(scorer(texts), index=texts.index)
+            yield pd.Series(scorer(texts.tolist()), index=texts.index)
 
     return score(F.col("text"))
 
