@@ -67,11 +67,17 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def classes_of(valid: DataFrame, members: int) -> DataFrame:
-    """One row per distinct vector: node (its smallest vec_id), members (the smallest ones), vec."""
+    """One row per distinct vector: members (its smallest vec_ids), vec."""
     ranked = valid.withColumn("_nr", F.row_number().over(Window.partitionBy("vec").orderBy("vec_id")))
     few = ranked.where(F.col("_nr") <= members)  # cut in the map task, before the shuffle
-    listed = few.groupBy("vec").agg(F.array_sort(F.collect_list("vec_id")).alias("members"))
-    return listed.select(F.element_at("members", 1).alias("node"), "members", "vec")
+    return few.groupBy("vec").agg(F.array_sort(F.collect_list("vec_id")).alias("members"))
+
+
+def numbered(classes: DataFrame) -> DataFrame:
+    """The rows of a written table with node, the place of a row: file, then row. Different
+    vectors may share a vec_id, so that cannot be their number."""
+    part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long")
+    return classes.select((F.shiftleft(part, 40) + F.col("_metadata.row_index")).alias("node"), "members", "vec")
 
 
 @dataclass(frozen=True)
@@ -337,7 +343,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, how: D
     spark = vectors.sparkSession
     scratch = Scratch(spark, "neighbours")
     valid = usable(vectors)
-    classes = scratch.write(classes_of(valid, k + 1), "classes")
+    classes = numbered(scratch.write(classes_of(valid, k + 1), "classes"))
     single = F.forall("vec", lambda x: x.cast("float").cast("double") == x)
     found = classes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dimensions"), F.bool_and(single).alias("single")).first()
     fields = "query_id long, rank int, vec_id long, score double"

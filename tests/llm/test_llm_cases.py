@@ -475,6 +475,20 @@ def test_vectors_that_take_no_part_and_copies(spark):
     assert {r.query_id for r in rows} == {i for i in points if i % 100 == 0}
 
 
+def test_repeated_ids_and_columns_that_clash(spark):
+    """Rows that share a vec_id are candidates each; names of inner columns do not matter."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(60)]
+    rows += [(7, rng.normal(size=4).tolist()), (7, rows[7][1]), (20, rows[5][1])]
+    table = spark.createDataFrame(
+        [(*r, 1, "x", 2.0, [1.0]) for r in rows], "vec_id long, embedding array<double>, node int, q string, d double, vec array<double>"
+    )
+    found = nearest_neighbours(table, F.col("vec_id") == 0, k=70).orderBy("rank").collect()
+    apart = sorted((math.dist(v, rows[0][1]), i) for i, v in rows if i != 0)
+    assert [(r.vec_id, round(r.score, 9)) for r in found] == [(i, round(a, 9)) for a, i in apart]
+    assert {r.query_id for r in found} == {0} and [r["rank"] for r in found] == list(range(1, len(apart) + 1))
+
+
 def test_few_vectors_give_all(spark):
     table = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.0])], "vec_id long, embedding array<float>")
     found = nearest_neighbours(table, F.col("vec_id") == 0).collect()
