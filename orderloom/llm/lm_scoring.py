@@ -61,8 +61,8 @@ class Plan:
 
     dictionary: int = 200_000
     longest: int = 64
-    head_words: int = 1024
-    kinds: int = 32
+    head_words: int = 512
+    kinds: int = 16
     hidden: int = 16
     rounds: int = 6
     most_passes: int = 6
