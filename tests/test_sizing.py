@@ -1,5 +1,6 @@
 import pytest
 
+from orderloom.session import apply_settings
 from orderloom.sizing import (
     MOST_PARTITIONS,
     estimated_bytes,
@@ -70,3 +71,8 @@ def test_a_small_query_after_a_large_one_has_the_old_setting(four_partitions, sf
     assert int(spark.conf.get("spark.sql.shuffle.partitions")) > 4
     QUERIES["order_amount"](spark, sf_dir)
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
+def test_merged_partitions_stay_small(spark):
+    apply_settings(spark)
+    assert parse_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) <= 16 << 20
