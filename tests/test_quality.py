@@ -209,3 +209,14 @@ def test_empty_tables_hold_every_key_rule(spark):
     results = evaluate(empty, suite, "a", {"r": empty}).collect()
     assert {(r.element_count, r.unexpected_count, r.success) for r in results} == {(0, 0, True)} and len(results) == 4
     assert failing_rows(empty, suite, {"r": empty}).count() == 0
+
+
+@pytest.mark.parametrize("rule", [InReference("customer_id", "customers", "customer_id"), Unique("order_id")])
+def test_rows_are_not_shuffled_to_meet_few_failing_keys(spark, rule):
+    rows = spark.range(1000).selectExpr("id AS order_id", "id % 7 AS customer_id", "repeat('x', 100) AS text")
+    rows = rows.unionByName(rows.where("order_id < 3"))
+    # By its estimate the list is beyond the broadcast limit.
+    listed = spark.range(1, 3_000_000).withColumnRenamed("id", "customer_id")
+    failing = failing_rows(rows, Suite("some", (rule,)), {"customers": listed})
+    assert "hashpartitioning" not in failing._jdf.queryExecution().toString()
+    assert failing.count() == (6 if isinstance(rule, Unique) else sum(1 for i in [*range(1000), 0, 1, 2] if i % 7 == 0))
