@@ -1,8 +1,10 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderloom.plans import silver
+from orderloom.workload.queries import QUERIES
 
 DAY = datetime(2017, 3, 4, 23, 59, 59)
 
@@ -104,3 +106,15 @@ def test_text_dates_that_are_none_become_null(spark):
     )
     days = {r.order_id: r.order_date for r in silver.clean_orders(orders).collect()}
     assert days == {"o1": date(2017, 5, 6), "o2": None}
+
+
+def test_lines_of_an_order_are_together(shuffled_joins, sf_dir):
+    spark = shuffled_joins
+    lines = QUERIES["silver_orders"](spark, sf_dir)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = lines.select("order_id", F.spark_partition_id().alias("part")).distinct().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len({r["part"] for r in parts}) == 4
+    assert len(parts) == len({r["order_id"] for r in parts})
