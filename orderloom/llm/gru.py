@@ -90,6 +90,12 @@ def initial(shape: Shape, counts: np.ndarray, seed: int = 7) -> np.ndarray:
     return flat
 
 
+def by_number(values: np.ndarray, most: int) -> np.ndarray:
+    """The order of whole numbers below ``most``, equal ones as they came. Numbers of two
+    bytes are sorted by their digits, several times faster than by comparing."""
+    return np.argsort(values.astype(np.uint16) if most <= 1 << 16 else values, kind="stable")
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     x *= 0.5
     np.tanh(x, out=x)
@@ -133,7 +139,7 @@ class Model:
             grad["to_class"] += states.T @ odds
             grad["class_bias"] += odds.sum(0)
             slope = odds @ v["to_class"].T
-        order = np.argsort(kind, kind="stable")
+        order = by_number(kind, shape.classes)
         ends = np.searchsorted(kind[order], np.arange(shape.heads + 1))
         for c in range(shape.heads):
             at = order[ends[c] : ends[c + 1]]
@@ -231,7 +237,7 @@ class Model:
         grad["inward"] += embedded.T @ into
         grad["gate_bias"] += into.sum(0)
         by_input = into @ v["inward"].T
-        order = np.argsort(inputs.reshape(-1), kind="stable")
+        order = by_number(inputs.reshape(-1), self.shape.symbols + 1)
         ids = inputs.reshape(-1)[order]
         heads = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
         grad["embed"][ids[heads]] += np.add.reduceat(by_input[order], heads)
