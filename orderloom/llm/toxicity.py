@@ -26,7 +26,7 @@ HASH_BITS = 24
 PREFIXES = (3, 4, 5, 6)
 
 # Words whose terms a worker remembers.
-MOST_WORDS = 200_000
+MOST_WORDS = 1 << 16
 TEXTS_PER_BATCH = "1000"
 TEXTS_AT_ONCE = 256
 
@@ -159,10 +159,17 @@ def _descend(
     return Model(model.terms, weights, factors, float(bias))
 
 
+def _terms(text: str | None) -> np.ndarray:
+    """In four bytes each, as a batch has many."""
+    return np.array(sorted({t for w in words(text) for t in word_terms(w)}), np.int32)
+
+
 def _term_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        lists = [sorted({t for w in words(text) for t in word_terms(w)}) for text in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(pa.int32()))], ["toxic", "terms"])
+        for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+            some = batch.slice(at, TEXTS_AT_ONCE)
+            lists = [_terms(text) for text in some.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(lists, pa.list_(pa.int32()))], ["toxic", "terms"])
 
 
 def held_out(doc_id: Column) -> Column:
