@@ -284,7 +284,12 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the model does not find toxic, with all their columns."""
-    model = learn(docs, labels)
-    columns = docs.columns
-    return docs.withColumn("_toxicity", toxicity(model)).where(F.col("_toxicity") < 0.5).select(*(F.col(f"`{c}`") for c in columns))
+    """The documents that the model does not find toxic, with all their columns.
+
+    They are written, as the size of the batches that are scored must hold until then.
+    """
+    spark, columns = docs.sparkSession, docs.columns
+    scored = docs.withColumn("_toxicity", toxicity(learn(docs, labels)))
+    kept = scored.where(F.col("_toxicity") < 0.5).select(*(F.col(f"`{c}`") for c in columns))
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=TEXTS_PER_BATCH):
+        return Scratch(spark, "toxicity").write(kept, "kept")

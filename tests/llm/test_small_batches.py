@@ -2,6 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from orderloom.llm import gru, toxicity
 
@@ -17,6 +18,23 @@ def test_terms_leave_a_task_in_small_batches():
     assert table["terms"].to_pylist() == expected
 
 
+def test_the_pipeline_scores_small_batches(spark, monkeypatch):
+    most = int(toxicity.TEXTS_PER_BATCH)
+
+    def size_of_batch(model):
+        @F.pandas_udf("double")
+        def too_large(texts):
+            return (texts == texts) * 0.0 + float(len(texts) > most)
+
+        return too_large(F.col("text"))
+
+    monkeypatch.setattr(toxicity, "toxicity", size_of_batch)
+    monkeypatch.setattr(toxicity, "learn", lambda docs, labels: None)
+    docs = spark.range(0, 3 * most, 1, 1).select(F.col("id").alias("doc_id"), F.lit("a text").alias("text"))
+    kept = toxicity.without_toxic(docs, None)
+    assert kept.count() == 3 * most and kept.columns == docs.columns
+
+
 def test_order_of_symbols_is_stable_at_any_number_of_them():
     rng = np.random.default_rng(3)
     for most in (2, 530, 1 << 16, 1 << 20):
