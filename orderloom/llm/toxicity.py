@@ -172,6 +172,29 @@ def _term_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([some.column(0), pa.array(lists, pa.list_(pa.int32()))], ["toxic", "terms"])
 
 
+def _place_type(chosen: np.ndarray) -> tuple[type, str]:
+    """The driver gets places of terms, so they are as short as their number allows."""
+    return (np.int16, "smallint") if len(chosen) < 1 << 15 else (np.int32, "int")
+
+
+def _places(chosen: np.ndarray):
+    """The terms of each row that are among the chosen ones, by their places there, ascending."""
+    kind, _ = _place_type(chosen)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("terms")
+            terms = lists.flatten().to_numpy()
+            place = np.searchsorted(chosen, terms)
+            known = np.append(chosen, -1)[place] == terms
+            row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())[known]
+            ends = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
+            places = pa.ListArray.from_arrays(pa.array(ends), pa.array(place[known].astype(kind)))
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), places], ["toxic", "places"])
+
+    return run
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0, F.lit(False))
 
@@ -211,19 +234,19 @@ def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
     chosen = np.array(sorted(tied | frequent), np.int64)
     is_tied = np.isin(chosen, sorted(tied))
 
-    wanted = F.array(*(F.lit(int(t)) for t in chosen)) if len(chosen) else F.array().cast("array<int>")
-    kept = lists.select("toxic", F.array_sort(F.array_intersect("terms", wanted)).alias("terms"))
-    table = kept.toArrow()
-    labels, lists = table["toxic"].to_numpy().astype(float), table["terms"].combine_chunks()
+    kind, spark_kind = _place_type(chosen)
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=TEXTS_PER_BATCH):
+        table = lists.mapInArrow(_places(chosen), f"toxic int, places array<{spark_kind}>").toArrow()
+    labels, lists = table["toxic"].to_numpy().astype(float), table["places"].combine_chunks()
     flat, lengths = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
     ends = np.cumsum(lengths)
     each = [flat[a:b] for a, b in zip((ends - lengths).tolist(), ends.tolist(), strict=True)]
     # The same order in every run, whatever the order of tasks.
     order = sorted(range(len(each)), key=lambda i: (labels[i], each[i].astype(">i4").tobytes()))
     order = np.array(order, np.int64)
-    flat = np.concatenate([np.empty(0, np.int32), *(each[i] for i in order)])
+    columns = np.concatenate([np.empty(0, kind), *(each[i] for i in order)])
     doc = np.repeat(np.arange(len(order), dtype=np.int32), lengths[order])
-    columns = np.searchsorted(chosen, flat).astype(np.int32)
+    del table, lists, flat, each
     return train(chosen, columns, doc, labels[order], is_tied, fit)
 
 

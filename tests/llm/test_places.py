@@ -1,0 +1,23 @@
+"""The driver gets the places of the chosen terms, in two bytes each, not the terms."""
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from orderloom.llm.toxicity import _place_type, _places
+
+
+@pytest.mark.parametrize("chosen", [[], [4], [1, 4, 9, 2**24 - 1], list(range(0, 90_000, 2))])
+def test_places_of_chosen_terms(chosen):
+    rows = [[], [0, 1, 4], [9], [], [2, 3], [4, 9, 80_000, 2**24 - 1], []]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([0, 1, 0, 1, 0, 1, 1], pa.int32()), pa.array(rows, pa.list_(pa.int32()))], ["toxic", "terms"]
+    )
+    chosen = np.array(chosen, np.int64)
+    at = {int(t): i for i, t in enumerate(chosen)}
+    for part in (batch, batch.slice(1, 5), batch.slice(0, 0)):
+        (found,) = _places(chosen)([part])
+        assert found.column("places").to_pylist() == [[at[t] for t in r if t in at] for r in part.column("terms").to_pylist()]
+        assert found.column("toxic").equals(part.column("toxic"))
+        assert found.column("places").type.value_type == (pa.int16() if len(chosen) < 2**15 else pa.int32())
+    assert _place_type(chosen)[1] == ("smallint" if len(chosen) < 2**15 else "int")
